@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import documents
+from .common import documents, stored
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import detect, digest
+
+    return digest(detect(documents(spark, sf_dir)))
+
+
+def op3_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .gif_media import digest, store
+
+    return digest(stored(store(documents(spark, sf_dir)), "gif"))
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +29,22 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op8_packing,)}
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .subword import digest
+
+    return digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .wavelet import encode_and_read
+
+    return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op8_packing, op9_sentencepiece, op10_wavelet)}
 
 ORACLE_SQL: dict[str, str] = {}

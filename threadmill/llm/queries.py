@@ -21,6 +21,12 @@ def op3_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(stored(store(documents(spark, sf_dir)), "gif"))
 
 
+def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .exact_dedup import classes
+
+    return classes(documents(spark, sf_dir)).drop("row")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -45,6 +51,12 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op8_packing, op9_sentencepiece, op10_wavelet)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op5_exact_dedup, op8_packing, op9_sentencepiece, op10_wavelet)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_exact_dedup": r"""
+        WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents),
+        g AS (SELECT norm, arg_min(doc_id, (-n, doc_id)) AS keep_id, count(*) AS group_size FROM d GROUP BY norm)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM d JOIN g USING (norm)
+    """,
+}

@@ -27,6 +27,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes(documents(spark, sf_dir)).drop("row")
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_dedup import classes
+
+    return classes(documents(spark, sf_dir)).drop("text_hash")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import score, train
 
@@ -58,7 +64,7 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op5_exact_dedup, op7_quality, op8_packing, op9_sentencepiece, op10_wavelet)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op5_exact_dedup, op6_minhash, op7_quality, op8_packing, op9_sentencepiece, op10_wavelet)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""

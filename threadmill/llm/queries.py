@@ -21,6 +21,12 @@ def op3_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(stored(store(documents(spark, sf_dir)), "gif"))
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import repeated_passages
+
+    return repeated_passages(documents(spark, sf_dir))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import classes
 
@@ -64,7 +70,7 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op5_exact_dedup, op6_minhash, op7_quality, op8_packing, op9_sentencepiece, op10_wavelet)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op4_suffix_array, op5_exact_dedup, op6_minhash, op7_quality, op8_packing, op9_sentencepiece, op10_wavelet)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""

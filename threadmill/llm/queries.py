@@ -15,6 +15,12 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(detect(documents(spark, sf_dir)))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_dedup import kept_lines
+
+    return kept_lines(documents(spark, sf_dir))
+
+
 def op3_gif(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .gif_media import digest, store
 
@@ -70,7 +76,7 @@ def op10_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_gif, op4_suffix_array, op5_exact_dedup, op6_minhash, op7_quality, op8_packing, op9_sentencepiece, op10_wavelet)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_line_dedup, op3_gif, op4_suffix_array, op5_exact_dedup, op6_minhash, op7_quality, op8_packing, op9_sentencepiece, op10_wavelet)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": r"""

@@ -6,6 +6,7 @@ import re
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -61,60 +62,92 @@ def to_batch(schema: pa.Schema, columns: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-# What follows encodes texts with a file of the tokenizers library. Neither vocabulary here has a token that goes on after a
-# white space, so a text's ids are those of its chunks (white space, then the word it leads to), and most chunks recur.
+# What follows encodes texts with a file of the tokenizers library. Such a tokenizer first cuts a text into words and then works
+# on each alone, so a text's ids are those of its words, and most words recur. Texts of ASCII and Latin letters are cut here as
+# the tokenizer would; others only after white space, where none of these tokenizers has a word that goes on.
 
-_CHUNK = re.compile(r"\s*\S+|\s+")
+_CHUNK = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
 #: \x1c-\x1f are white space to Python's re but not to the tokenizers.
-_CHUNK_EXACT = re.compile(r"[^\S\x1c-\x1f]*[\S\x1c-\x1f]+|[^\S\x1c-\x1f]+")
-_ODD = re.compile(r"[\x1c-\x1f]")
-CACHE_ENTRIES = 300_000
+_ODD = re.compile(r"[^\x00-\x1b\x20-\x7fÀ-ÖØ-öø-ɏ]")
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_WORDS = {
+    "byte": re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+"),
+    "word": re.compile(rf"'(?:[stmd]|re|ve|ll)|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+"),
+}
+CACHE_ENTRIES = 500_000
 CACHED_CHARS = 48
+_END = "</w>"
 
 
-class ChunkEncoder:
-    """Ids of texts as little-endian integers, equal to Tokenizer.encode(text, add_special_tokens=False)."""
+class WordEncoder:
+    """Ids of texts as little-endian integers, equal to Tokenizer.encode(text, add_special_tokens=False).
+
+    kind: "byte" for byte-level BPE whose words may begin with a blank, "word" for lower-case BPE whose words end in </w>."""
 
     _made: dict = {}
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, kind: str, dtype: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.cache = Tokenizer.from_file(path), dtype, {}
+        self.tokenizer, self.kind, self.dtype, self.cache = Tokenizer.from_file(path), kind, dtype, {}
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith(_END)]] = True
 
     @classmethod
-    def of(cls, path: str, dtype: str = "<u4") -> ChunkEncoder:
+    def of(cls, path: str, kind: str, dtype: str = "<u4") -> WordEncoder:
         """One for each worker process."""
-        key = (path, dtype)
+        key = (path, kind, dtype)
         if key not in cls._made:
-            cls._made[key] = cls(path, dtype)
+            cls._made[key] = cls(path, kind, dtype)
         return cls._made[key]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """_ids() of words: those of kind "word" are encoded as one text and told apart by the ids that end a word."""
+        out: list[bytes] = []
+        for k in range(0, len(words), 20_000):
+            some = words[k : k + 20_000]
+            if self.kind == "word" and not any(map(_ODD.search, some)):
+                ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, dtype=self.dtype)
+                stops = ((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()
+                if len(stops) == len(some):
+                    raw = ids.tobytes()
+                    out += [raw[a:b] for a, b in zip([0, *stops], stops)]
+                    continue
+            out += self._ids(some)
+        return out
 
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def _cut(self, text: str) -> list[str]:
+        if _ODD.search(text):
+            return _CHUNK.findall(text)
+        return _WORDS[self.kind].findall(text.lower() if self.kind == "word" else text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE_ENTRIES:
             self.cache.clear()
         cache = self.cache
         whole = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
-        chunks = [[] if i in whole else (_CHUNK_EXACT if _ODD.search(t) else _CHUNK).findall(t) for i, t in enumerate(texts)]
-        new = list(set().union(*chunks).difference(cache)) if chunks else []
-        short = [c for c in new if len(c) <= CACHED_CHARS]
-        cache.update(zip(short, self._ids(short)))
-        long = [c for c in new if len(c) > CACHED_CHARS]
+        cut = [[] if i in whole else self._cut(t) for i, t in enumerate(texts)]
+        new = list(set().union(*cut).difference(cache)) if cut else []
+        short, long = [c for c in new if len(c) <= CACHED_CHARS], [c for c in new if len(c) > CACHED_CHARS]
+        # Chunks of other texts may hold several words.
+        plain = [c for c in short if self.kind == "word" and _WORDS["word"].fullmatch(c)]
+        rest_of = set(short).difference(plain)
+        cache.update(zip(plain, self._word_ids(plain)))
+        cache.update(zip(rest_of, self._ids(list(rest_of))))
         rest = dict(zip(long, self._ids(long)))
         if rest:
-            out = [b"".join([cache[c] if c in cache else rest[c] for c in cs]) for cs in chunks]
+            out = [b"".join([cache[c] if c in cache else rest[c] for c in cs]) for cs in cut]
         else:
             get = cache.__getitem__
-            out = [b"".join(map(get, cs)) for cs in chunks]
+            out = [b"".join(map(get, cs)) for cs in cut]
         for i in whole:
             out[i] = self._ids([texts[i]])[0]
         return out

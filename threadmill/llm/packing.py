@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import ChunkEncoder, slices, text_of, to_batch
+from .common import WordEncoder, slices, text_of, to_batch
 
 CAPACITY = 1024
 END_ID = 0
@@ -124,7 +124,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, packer = ChunkEncoder.of(tokenizer), SumOfSquaresPacker(capacity)
+        encoder, packer = WordEncoder.of(tokenizer, "byte"), SumOfSquaresPacker(capacity)
         first = TaskContext.get().partitionId() << 36
         end = np.array([end_id], dtype="<u4").tobytes()
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import ChunkEncoder, slices, stored, to_batch
+from .common import WordEncoder, slices, stored, to_batch
 
 MAGIC = b"TMWM0001"
 END_ID = 1
@@ -187,7 +187,7 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_to
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, part = ChunkEncoder.of(tokenizer), TaskContext.get().partitionId()
+        encoder, part = WordEncoder.of(tokenizer, "word"), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         held, doc_ids, lengths, n, start, shard = [], [], [], 0, 0, 0
 

@@ -173,7 +173,7 @@ def is_orphan(c: Column) -> Column:
     c = without_emojis(stripped(c))
     words = F.regexp_extract_all(c, F.lit(r"([A-Za-z']+)"))
     n, lower = F.size(words), t.found(c, r"^\p{Ll}")
-    first = F.lower(F.regexp_replace(F.element_at(words, 1), r"^'+|'+$", ""))
+    first = F.lower(F.regexp_replace(F.try_element_at(words, F.lit(1)), r"^'+|'+$", ""))
     odd = t.found(c, r"\b[a-z]{2,}\s+(The|I|I'm|I'll|You|We|They)\b")
     some = (lower & F.contains(c, F.lit("?")) & (n <= 8)) | (lower & first.isin(*t.FRAGMENT_STARTS) & (n <= 8)) | (odd & (n <= 12))
     return F.when(n > 0, some).otherwise(False)
@@ -184,7 +184,7 @@ def continues(before: Column, c: Column) -> Column:
     before, c = stripped(before), stripped(c)
     words = F.regexp_extract_all(c, F.lit(r"([A-Za-z0-9']+)"))
     n, ended, lower = F.size(words), t.found(before, r"[.!?…]$"), t.found(c, r"^\p{Ll}")
-    first = F.lower(F.regexp_replace(F.element_at(words, 1), r"[^A-Za-z']+", ""))
+    first = F.lower(F.regexp_replace(F.try_element_at(words, F.lit(1)), r"[^A-Za-z']+", ""))
     joins = ~(lower & F.contains(c, F.lit("?"))) & ~ended & (((n <= 8) & (lower | first.isin(*t.CONTINUATION_STARTS))) | (n <= 3))
     return F.when((before != "") & (n > 0), joins).otherwise(False)
 

@@ -60,7 +60,7 @@ def number_owner(blocks: DataFrame, people: DataFrame) -> DataFrame:
     rows = blocks.withColumn("digits", text.digits(F.col("text"))).filter("digits <> ''").crossJoin(F.broadcast(listed))
     hit = F.filter("numbers", lambda n: F.contains(F.col("digits"), n["digits"]))
     side = F.when((F.col("pos") == "CENTER") & (F.col("y") <= HEADER), "LEFT").otherwise(F.col("pos"))
-    found = rows.select("image_id", "screen_idx", "line_no", side.alias("side"), F.element_at(hit, -1)["name"].alias("name")).filter("name is not null")
+    found = rows.select("image_id", "screen_idx", "line_no", side.alias("side"), F.try_element_at(hit, F.lit(-1))["name"].alias("name")).filter("name is not null")
     last = lambda s: F.max_by("name", F.when(F.col("side") == s, F.struct("screen_idx", "line_no"))).alias(s)
     return found.groupBy("image_id").agg(last("LEFT"), last("RIGHT"))
 

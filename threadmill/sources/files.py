@@ -176,11 +176,11 @@ def inventory(files: DataFrame, report: str | None) -> DataFrame:
 
 def decoded(content: Column) -> Column:
     """Text of bytes: UTF-8 without its mark, or Latin-1 where they aren't UTF-8."""
-    as_text = F.decode(F.when(F.is_valid_utf8(content.cast("string")), content).otherwise(F.lit(b"")), F.lit("UTF-8"))
-    return F.when(F.is_valid_utf8(content.cast("string")), F.regexp_replace(as_text, "^﻿", "")).otherwise(F.decode(content, F.lit("ISO-8859-1")))
+    as_text = content.cast("string")
+    return F.when(F.is_valid_utf8(as_text), F.regexp_replace(as_text, "^﻿", "")).otherwise(F.decode(content, "ISO-8859-1"))
 
 
 def report_text(content: Column, path: Column) -> Column:
     """Text of a report file; a mark at its start stays. PDF needs a reader from threadmill.edge; other kinds have no text."""
-    raw = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, F.lit("ISO-8859-1")))
+    raw = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "ISO-8859-1"))
     return F.when(extension(path) == ".txt", raw).otherwise("")

@@ -1,0 +1,423 @@
+"""The corpus operators against plain versions, on small tables with nulls, ties, repeats and long texts."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from threadmill.llm import exact_dedup, gif_media, line_dedup, near_dedup, packing, pii, quality, subword, suffix_dedup, wavelet
+from threadmill.llm.common import WordEncoder
+
+BYTE, WORD, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
+SCHEMA = "doc_id long, text string, name string, line long, node long, row long, by long"
+
+
+def table(spark, rows):
+    """Documents with other columns whose names clash with those that the operators make."""
+    return spark.createDataFrame([(i, t, "x", 1, 2, 3, 4) for i, t in rows], SCHEMA)
+
+
+def prose(n, seed):
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 8))) for _ in range(n))
+
+
+ODD = [(1, None), (2, ""), (3, " \n\t "), (4, "a"), (4, "a"), (None, "no id"), (5, "é中\U0001f600 \x1c x"), (6, "word " * 3000), (7, "x" * 20000)]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return table(spark, ODD).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return table(spark, [])
+
+
+# PII
+
+
+def plain_pii(text):
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m[0].split("."))]
+    for kind, pattern, least, most in (("card", r"[0-9]([\x20-]?[0-9])+", 14, 19), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 10, 15)):
+        for m in re.finditer(pattern, text):
+            digits = re.sub(r"\D", "", m[0])
+            if least <= len(digits) <= most and (kind == "phone" or pii.luhn(digits)):
+                out.append((kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], pii.KINDS.index(s[0])))
+
+
+@pytest.mark.parametrize("letters", ["a1@.-+_ 2(", "4561 -.+", "@a.b_"])
+def test_base_spans_equal_the_plain_patterns(letters):
+    r = random.Random(letters)
+    for _ in range(3000):
+        text = "".join(r.choice(letters) for _ in range(r.randrange(50)))
+        assert [(s.kind, s.start, s.end) for s in pii.find(text) if s.kind in pii.BASE_KINDS] == plain_pii(text)
+
+
+def test_checksums_and_context_add_spans():
+    assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE89370400440532013001")
+    kinds = lambda t: [s.kind for s in pii.find(t)]
+    assert kinds("konto DE89 3704 0044 0532 0130 00 bitte") == ["iban"]
+    assert kinds("DE89 3704 0044 0532 0130 01") == []
+    assert kinds("ssn 123-45-6789") == ["national_id"] and kinds("item 123-45-6789") == []
+    assert kinds("call 555 123 4567") == ["phone_near"] and kinds("size 555 123 4567") == []
+    assert pii.redact("mail a@b.cd now", pii.find("mail a@b.cd now")) == "mail [EMAIL] now"
+
+
+def test_pii_digest(spark, odd, empty):
+    rows = pii.digest(pii.detect(odd)).collect()
+    assert len(rows) == len(ODD) and all(r.n_email + r.n_ip + r.n_card + r.n_phone == 0 for r in rows)
+    assert {r.base_sha256 for r in rows} == {hashlib.sha256(b"").hexdigest()}
+    one = pii.digest(pii.detect(table(spark, [(9, "é a@b.cd 1.2.3.4 +1 (555) 123-4567")]))).first()
+    assert (one.n_email, one.n_ip, one.n_card, one.n_phone, one.spans) == (1, 1, 0, 1, "email:2:8,ip:9:16,phone:17:34")
+    assert one.base_sha256 == hashlib.sha256(one.spans.encode()).hexdigest()
+    assert pii.digest(pii.detect(empty)).count() == 0
+    assert [r.text for r in pii.redacted(odd).filter("doc_id = 1").collect()] == [None]
+
+
+# Lines
+
+
+def within_one(a, b):
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    a, b = sorted((a, b), key=len)
+    i = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
+    return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
+
+
+def plain_lines(docs, least=line_dedup.LEAST_CHARS):
+    every = [(d, k, x) for d in sorted(docs) for k, x in line_dedup.lines_of(docs[d])]
+    first, copies = {}, collections.Counter(x for *_, x in every)
+    for d, k, x in every:
+        first.setdefault(x, (d, k))
+    near = {a: [b for b in first if min(len(a), len(b)) >= least and within_one(a, b)] for a in first}
+    out = []
+    for d, k, x in every:
+        best = min([first[x], *[first[b] for b in near[x]]])
+        out.append((d, k, *best, copies[x], len(near[x]), best == (d, k)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_equal_brute_force(spark, seed):
+    r = random.Random(seed)
+    docs = {}
+    for d in range(40):
+        lines = []
+        for _ in range(5):
+            x = list(r.choice(["the quick brown fox jumps", "aaaaaaaaaaaaaaaaaaaaaaaa", "abababababababababababab", "short"]))
+            for _ in range(r.randrange(3)):
+                p = r.randrange(len(x))
+                x[p : p + r.randrange(2)] = r.choice(["", "a", "b", " "])
+            lines.append("".join(x))
+        docs[d] = "\n".join(lines)
+    got = sorted(map(tuple, line_dedup.kept_lines(table(spark, docs.items())).collect()))
+    assert got == plain_lines(docs)
+
+
+def test_lines_of_odd_rows(odd, empty):
+    rows = line_dedup.kept_lines(odd).collect()
+    assert sum(r.kept for r in rows if r.doc_id == 4) == 1 and sum(r.doc_id == 4 for r in rows) == 2
+    assert line_dedup.kept_lines(empty).count() == 0
+
+
+# Media
+
+
+def test_gif_round_trips():
+    r = random.Random(3)
+    for payload in (b"a", bytes(r.randrange(256) for _ in range(60000)), b"a" * 30000, b"ab" * 9000):
+        (media,) = gif_media.encode([payload], len(payload), 1)
+        assert b"".join(f.pixels[..., 0].tobytes() for f in gif_media.decode([media])) == payload
+    streams = [bytes(r.randrange(4) for _ in range(n)) for n in (1, 50, 576, 8000)]
+    coded = gif_media.lzw_encode(streams, 2)
+    assert gif_media.lzw_decode_all([(c, 2, len(s)) for c, s in zip(coded, streams)]) == streams
+    assert [gif_media.lzw_decode(c, 2, len(s)) for c, s in zip(coded, streams)] == streams
+
+
+def test_gif_disposal_transparency_and_interlace():
+    def image(left, top, w, h, pixels, disposal=1, transparent=None, interlaced=False):
+        control = b"\x21\xf9\x04" + bytes([disposal << 2 | (transparent is not None), 5, 0, transparent or 0, 0])
+        body = gif_media._blocks(gif_media.lzw_encode([bytes(pixels)], 2)[0])
+        return control + b"\x2c" + np.array([left, top, w, h], "<u2").tobytes() + bytes([0x40 * interlaced, 2]) + body
+
+    palette = bytes([0, 0, 0, 255, 0, 0, 0, 255, 0, 0, 0, 255])
+    head = b"GIF89a" + np.array([2, 2], "<u2").tobytes() + bytes([0x81, 0, 0]) + palette
+    parts = [image(0, 0, 2, 2, [1] * 4), image(1, 1, 1, 1, [2], disposal=3), image(0, 0, 2, 1, [3, 0], disposal=2, transparent=0), image(1, 0, 1, 1, [2])]
+    shown = np.concatenate([f.pixels for f in gif_media.decode([head + b"".join(parts) + b"\x3b"])])
+    red, green, blue, none = (255, 0, 0, 255), (0, 255, 0, 255), (0, 0, 255, 255), (0, 0, 0, 0)
+    want = [[red] * 4, [red, red, red, green], [blue, red, red, red], [none, green, red, red]]
+    assert [[tuple(p) for p in f.reshape(4, 4).tolist()] for f in shown] == want
+    tall = head[:6] + np.array([1, 8], "<u2").tobytes() + head[10:] + image(0, 0, 1, 8, [0, 1, 2, 2, 3, 3, 3, 3], interlaced=True) + b"\x3b"
+    (f,) = gif_media.decode([tall])
+    assert [tuple(p[:3]) for p in f.pixels[0, :, 0].tolist()] == [(0, 0, 0), (0, 0, 255), (0, 255, 0), (0, 0, 255), (255, 0, 0), (0, 0, 255), (0, 255, 0), (0, 0, 255)]
+    assert gif_media.histogram(f.pixels).tolist()[15] == 1
+
+
+def test_gif_digest(odd, empty):
+    rows = gif_media.digest(gif_media.store(odd)).collect()
+    for r in rows:
+        raw = next((t or "").encode() for i, t in ODD if i == r.doc_id)
+        payload = raw + b"\xff" * (max(576, -(-len(raw) // 576) * 576) - len(raw))
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+    assert len({(r.media_sha256, r.feature) for r in rows if r.n_bytes == 0}) == 1 and len(rows) == len(ODD)
+    frames = gif_media.frames(gif_media.store(odd).filter("doc_id = 7")).orderBy("frame").collect()
+    assert [f.start_cs for f in frames] == [4 * k for k in range(len(frames))] and sum(frames[0].histogram) == 3 * 576
+    assert gif_media.digest(gif_media.store(empty)).count() == 0
+
+
+# Suffix arrays
+
+
+def test_suffix_array_equals_sorting():
+    r = random.Random(5)
+    for k in range(120):
+        text = np.array([r.choice([97, 98, 99, 255]) if k % 3 else 97 for _ in range(r.randrange(1, 150))], np.uint8)
+        raw = text.tobytes()
+        want = sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert suffix_dedup.suffix_array(text).tolist() == want
+        near = suffix_dedup.suffix_array(text, 16)
+        assert [raw[i : i + 16] for i in near] == [raw[i : i + 16] for i in want]
+        for j, n in enumerate(suffix_dedup.common_prefixes(text, near, 16).tolist()[1:], 1):
+            a, b = raw[near[j - 1] :][:16], raw[near[j] :][:16]
+            same = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+            assert n == same or same == min(len(a), len(b)) < 16
+
+
+def plain_repeats(docs):
+    seen, out = set(), {}
+    for d in sorted(docs):
+        raw = (docs[d] or "").encode()
+        own, gone = [raw[i : i + 50] for i in range(len(raw) - 49)], bytearray(len(raw))
+        for i, s in enumerate(own):
+            if s in seen:
+                gone[i : i + 50] = b"\1" * 50
+        seen.update(own)
+        runs = sum(1 for i, g in enumerate(gone) if g and (not i or not gone[i - 1]))
+        out[d] = (len(raw), sum(gone), runs, hashlib.sha256(bytes(b for b, g in zip(raw, gone) if not g)).hexdigest())
+    return out
+
+
+def test_repeats_equal_brute_force(spark, odd, empty):
+    r = random.Random(6)
+    parts = [prose(40, k) for k in range(6)] + ["ab" * 200, "é" * 80, "c" * 300]
+    docs = {d: " ".join(p[r.randrange(20) : len(p) - r.randrange(40)] for p in r.sample(parts, r.randrange(1, 5))) for d in range(60)}
+    docs |= {60: None, 61: "", 62: "x" * 49, 63: "x" * 50, 64: "x" * 51}
+    rows = suffix_dedup.repeated_passages(table(spark, docs.items()).repartition(5)).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == plain_repeats(docs)
+    assert suffix_dedup.repeated_passages(empty).count() == 0
+    assert suffix_dedup.repeated_passages(odd).count() == len(ODD)
+
+
+# Exact copies
+
+
+def test_exact_classes(spark, odd, empty):
+    rows = [(1, "a b"), (2, "ab"), (3, " a\n b "), (4, "abc"), (5, None), (6, " "), (7, "ab"), (7, "ab"), (None, "abc"), (8, prose(9000, 1)), (9, prose(9000, 1) + " "), (10, prose(9000, 1) + "x")]
+    for hashed in (None, lambda c: exact_dedup.F.length(c).cast("long") % 3):  # the second one clashes all the time
+        got = exact_dedup.classes(table(spark, rows), 64, **({"hashed": hashed} if hashed else {})).collect()
+        norm = lambda t: re.sub(r"[\x20\x09-\x0d]", "", t or "")
+        groups = collections.defaultdict(list)
+        for i, t in rows:
+            groups[norm(t)].append((-len(t or ""), i if i is not None else 2**63, i))
+        for r in got:
+            text = next(norm(t) for i, t in rows if i == r.doc_id)
+            assert (r.keep_id, r.group_size, r.text_sha256) == (min(groups[text])[2], len(groups[text]), hashlib.sha256(text.encode()).hexdigest())
+        assert len(got) == len(rows) and sum(r.kept for r in got) == len(groups)
+    assert exact_dedup.classes(empty).count() == 0
+    assert exact_dedup.without_copies(odd).count() == 6 and exact_dedup.without_copies(odd).columns == odd.columns
+
+
+# Near copies
+
+
+def counted(text):
+    w = text.split()
+    return collections.Counter(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else collections.Counter()
+
+
+def test_darts_agree_as_often_as_sets_are_similar():
+    words = prose(400, 9).split()
+    texts = [" ".join(words), " ".join(words[40:]), " ".join(words[200:] + words[:150])]
+    regions, n = near_dedup.shingles(texts)
+    s = near_dedup.signatures(regions, n, 1024)
+    sets = [counted(t) for t in texts]
+    for a, b in ((0, 1), (0, 2), (1, 2)):
+        j = (sets[a] & sets[b]).total() / (sets[a] | sets[b]).total()
+        assert abs((s[a] == s[b]).mean() - j) < 0.06
+    assert near_dedup.shingles(["", "a b", "a b c d e f"])[1].tolist() == [0, 1, 2]
+    again, n = near_dedup.shingles(["z " * 9 + texts[1], texts[0]])
+    assert (near_dedup.signatures(again, n)[1] == near_dedup.signatures(regions, near_dedup.shingles(texts)[1])[0]).all()
+
+
+def test_near_classes_equal_brute_force(spark, odd, empty):
+    r = random.Random(8)
+    docs = {}
+    for d in range(90):
+        w = prose(120, d % 9).split()
+        for _ in range(r.randrange(6)):
+            w[r.randrange(len(w))] = "changed"
+        docs[d] = " ".join(w)
+    docs |= {100: "", 101: None, 102: "a b", 103: "a b"}
+    sets = {d: counted(t or "") for d, t in docs.items()}
+    parent = {d: d for d in docs}
+
+    def find(x):
+        return x if parent[x] == x else find(parent[x])
+
+    for a in docs:
+        for b in docs:
+            both = (sets[a] | sets[b]).total()
+            if a < b and (not both or (sets[a] & sets[b]).total() / both >= 0.8):
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    rows = near_dedup.classes(table(spark, docs.items())).collect()
+    sizes = collections.Counter(map(find, docs))
+    assert [r for r in rows if (r.class_id, r.class_size, r.kept) != (find(r.doc_id), sizes[find(r.doc_id)], find(r.doc_id) == r.doc_id)] == []
+    assert near_dedup.classes(empty).count() == 0
+    assert near_dedup.classes(odd).filter("kept").count() == 6  # blank texts have no shingle and are one class
+
+
+def test_blocks_of_a_bucket_are_compared():
+    a = [np.array([1, 2, 3, 4]), np.array([9])]
+    b = [np.array([1, 2, 3, 4]), np.array([1, 2, 3, 5]), np.array([9, 10])]
+    assert sorted(near_dedup.linked(a, b, 0.5)) == [(0, 0), (0, 1), (1, 2)]
+
+
+# Quality
+
+
+def test_grades_on_held_out_rows(spark, sf_dir, odd, empty):
+    docs, labels = (spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/{n}.parquet") for n in ("documents", "labels"))
+    held = "doc_id % 4 = 0"
+    model = quality.train(docs, labels.filter(f"not {held}"))
+    assert np.all(np.diff(model.thresholds) > 0)
+    got = quality.score(docs, model).join(quality.graded(labels.filter(held)), "doc_id").collect()
+    assert np.mean([r.keep == (r.grade == 2) for r in got]) > 0.85
+    assert all(0 <= r.p_top <= r.expected_grade <= 2 for r in got)
+    rows = quality.score(odd, model).collect()
+    assert len(rows) == len(ODD) and len({r.p_top for r in rows if r.doc_id == 4}) == 1
+    assert quality.score(empty, model).count() == 0
+    none = quality.train(empty, labels)
+    assert quality.kept(odd, none).columns == odd.columns
+    twice = labels.union(spark.createDataFrame([(0, 0, None), (None, 1, 0), (3, None, 0)], labels.schema))
+    assert quality.graded(twice).filter("doc_id = 0").first().grade == 0
+
+
+def test_ordinal_fit_orders_grades():
+    r = np.random.default_rng(1)
+    grades = r.integers(0, 3, 600)
+    places = [np.array(sorted({int(g) + 10, int(x) + 100}), np.int32) for g, x in zip(grades, r.integers(0, 20, 600))]
+    m = quality.fit(places, grades)
+    s = m.score(places)
+    assert s[grades == 0].max() < m.thresholds[0] < s[grades == 1].mean() < m.thresholds[1] < s[grades == 2].min()
+
+
+# Tokens
+
+
+@pytest.mark.parametrize(("kind", "path"), [("byte", BYTE), ("word", WORD)])
+def test_encoder_equals_the_library(kind, path):
+    r = random.Random(kind)
+    texts = ["".join(r.choice("ab eé\n\t İΣ  \x1c'st.<12²_中A\U0001f600") for _ in range(r.randrange(30))) for _ in range(3000)]
+    texts += ["".join(r.choice("ab eÀ\n\t 'sted1,.-_") for _ in range(r.randrange(40))) for _ in range(3000)] + ["", "<|endoftext|> a", "x" * 3000]
+    whole = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(b, "<u4").tolist() for b in WordEncoder.of(path, kind).encode(texts)] == [w.ids for w in whole]
+
+
+def ids_of(path, text, end):
+    return np.array([*Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids, end], "<u4")
+
+
+def test_packing(spark, odd, empty):
+    rows = packing.pack(odd, BYTE).collect()
+    docs, windows = collections.defaultdict(list), collections.defaultdict(list)
+    for r in rows:
+        docs[r.doc_id].append(r)
+        windows[r.sequence_id].append((r.offset, r.length))
+    for i, t in dict(ODD).items():
+        ids, copies = ids_of(BYTE, t, 0), sum(i == k for k, _ in ODD)
+        assert sum(r.length for r in docs[i]) == copies * len(ids) and {r.doc_tokens for r in docs[i]} == {len(ids)}
+        assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in docs[i])
+    fills = []
+    for w in windows.values():
+        at = 0
+        for offset, length in sorted(w):
+            assert offset == at
+            at += length
+        fills.append(at)
+    assert all(f <= 1024 and (f == 1024 or f & (f - 1) == 0) for f in fills)
+    assert packing.pack(empty, BYTE).count() == 0
+
+
+def test_sum_of_squares_takes_the_least_level():
+    r = random.Random(2)
+    p = packing.SumOfSquaresPacker(64)
+    for _ in range(800):
+        n = r.randrange(1, 64)
+        cost = {}
+        for h in range(64 - n + 1):
+            if h and not p.levels[h]:
+                continue
+            after = p.levels.copy()
+            after[h] -= h > 0
+            if h + n < 64:
+                after[h + n] += 1
+            cost[h] = int((after.astype(object) ** 2).sum())
+        best = min(cost.values())
+        assert p.level(n) == max(h for h, c in cost.items() if c == best)
+        for w in p.place(packing.Piece(0, 0, memoryview(bytes(4 * n)), n)):
+            assert sum(x.length for x in w) == 64
+    assert sum(x.length for w in p.flush() for x in w) < 64 * 800
+
+
+def test_subwords_equal_the_library(odd, empty):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    r = random.Random(4)
+    texts = ["".join(r.choice("ab eé\n\t ▁th中\U0001f600lo") for _ in range(r.randrange(30))) for _ in range(2000)] + ["", " ", "  ", "a  ", "x" * 300, prose(500, 3)]
+    m = subword.Subwords.of(PIECES)
+    ids = [np.frombuffer(b, "<u4").tolist() for b in m.encode(texts)]
+    assert ids == sp.encode(texts) and [m.decode(i) for i in ids] == sp.decode(ids)
+    rows = subword.digest(odd, PIECES).collect()
+    assert len(rows) == len(ODD) and all(r.same for r in rows)
+    assert subword.decode(subword.encode(odd, PIECES), PIECES).filter("doc_id = 5").first().text == dict(ODD)[5]
+    assert subword.digest(empty, PIECES).count() == 0
+
+
+def test_wavelet_matrix():
+    r = np.random.default_rng(7)
+    for n, width in ((0, 3), (1, 1), (777, 4), (5000, 9)):
+        a = r.integers(0, 1 << width, n).astype(np.uint16)
+        m = wavelet.WaveletMatrix.build(a, width)
+        assert m.symbols().tolist() == a.tolist()
+        for i in r.integers(0, n, min(n, 40)):
+            assert m.access(int(i)) == a[i]
+            s, lo, hi = int(a[i]), *sorted(r.integers(0, n + 1, 2).tolist())
+            assert m.count(s, lo, hi) == int((a[lo:hi] == s).sum())
+            assert [m.find(s, k) for k in range(3)] == [*np.flatnonzero(a == s)[:3].tolist(), -1, -1, -1][:3]
+    ids = r.integers(0, 49000, 3000).astype("<u4")
+    s = wavelet.Shard(wavelet.dump(ids, [1, None, 3], [1000, 1500, 500]))
+    assert s.ids().tolist() == ids.tolist() and s.doc_ids == [1, None, 3] and s.lengths.tolist() == [1000, 1500, 500]
+    assert s.access(17) == ids[17] and s.count(int(ids[17])) == (ids == ids[17]).sum() and s.find(int(ids[17]), 0) <= 17 and s.find(99999, 0) == -1
+
+
+def test_token_files(odd, empty):
+    rows = wavelet.encode_and_read(odd, WORD, shard_tokens=1000).orderBy("start").collect()
+    at = 0
+    for r, (i, t) in zip(rows, sorted(ODD, key=lambda x: (x[0] is not None, x[0], x[1] or ""))):
+        ids = ids_of(WORD, t, 1)
+        assert tuple(r) == (i, at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+    assert len(rows) == len(ODD) and wavelet.encode_and_read(empty, WORD).count() == 0

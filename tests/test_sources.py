@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadmill import cli
-from threadmill.edge import perception, splitting
+from threadmill.edge import perception, questions, splitting
 from threadmill.functions import text
 from threadmill.model import SCHEMAS
 from threadmill.operators import routing
@@ -29,6 +29,12 @@ VIBER = picture("60 100 300 40 Dana Example", "280 300 200 36 March 13, 2026", "
 
 class Answers:
     def ask(self, prompt, image=None):
+        if prompt == questions.platform_question():
+            return '{"platform": "not a chat"}'
+        if prompt.startswith("polish") and "facebook" in prompt:
+            return 'Time,Side,Message\n"12/03/2026 10:15",LEFT,"Hello, are you there?"\n"12/03/2026 10:16",RIGHT,"yes, I am here now"'
+        if prompt.startswith("polish"):
+            return "nothing to add"
         if "facebook" in prompt:
             return '```csv\nTime,Side,Message\n"12/03/2026 10:15",LEFT,"hello are you there"\n"12/03/2026 10:16",RIGHT,yes, I am here now\n```'
         return 'Time,Side,Message\n"10:15",RIGHT,"good morning to you all"' if "viber" in prompt else ""
@@ -139,7 +145,7 @@ def test_package_to_transcript(spark, tmp_path):
     got = (tmp_path / "out/merged/pkg_transcript.csv").read_text()
     assert got == (
         '"Time","Sender","Receiver","Message"\n'
-        '"12/03/2026 10:15","Dana Example","Robin Sample","hello are you there"\n'
+        '"12/03/2026 10:15","Dana Example","Robin Sample","Hello, are you there?"\n'
         '"12/03/2026 10:16","Robin Sample","Dana Example","yes, I am here now"\n'
         '"13/03/2026 10:15","Dana Example","Robin Sample","good morning to you all"\n'
     )
@@ -165,3 +171,13 @@ def test_stream_goes_on_where_it_ended(spark, tmp_path):
     assert sorted(r.message for r in spark.read.parquet(paths[1]).collect()) == ["m 0, x", "m 1, x"]
 
 
+
+
+def test_answers_are_checked():
+    assert [questions.platform_answer(a) for a in ('```json\n{"platform": "Facebook-Messenger"}```', "looks like Viber", "[1]", "")] == ["facebook", "viber", "unknown", "unknown"]
+    assert questions.sides_answer('Sure: {"LEFT": "Dana  (x)", "RIGHT": "Robin"}') == ("Dana", "Robin")
+    for bad in ('{"LEFT": "", "RIGHT": "a"}', '{"LEFT": "A", "RIGHT": "a"}', "none"):
+        with pytest.raises(ValueError):
+            questions.sides_answer(bad)
+    assert [questions.date_answer(a) for a in (" 12/03/2026\n", "12/3/2026", "NONE")] == ["12/03/2026", "", ""]
+    assert "10:15" in questions.repair_question("a", 1, "x", allowed=["10:15"])

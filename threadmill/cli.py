@@ -37,7 +37,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None, edge:
     spark = spark or SparkSession.builder.appName("threadmill").getOrCreate()
     edge = (edge or package.Edge())._replace(grid=a.grid, layout=a.layout)
     settings = {k: getattr(a, k) for k in ("model", "langs", "emoji_mode", "classify_mode", "force_platform", "debug", "no_vision", "cpu")}
-    return package.run(spark, a.package_or_report, a.output, a.inputs, a.case_report, edge, a.classify_mode, a.force_platform, a.keep_duplicates, a.emoji_mode == "omit", settings=settings)
+    return package.run(spark, a.package_or_report, a.output, a.inputs, a.case_report, edge, a.classify_mode, a.force_platform, a.keep_duplicates, a.emoji_mode == "omit", not a.no_vision, settings=settings)
 
 
 if __name__ == "__main__":

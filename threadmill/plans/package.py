@@ -10,10 +10,11 @@ from typing import NamedTuple
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..edge import perception, splitting
+from ..edge import perception, questions, splitting
 from ..model import PROFILES, SCHEMAS
-from ..operators import blocks as blocks_, manifest, routing, sidemap, transcript
-from ..sources import files as files_, transcripts
+from ..operators import candidates, manifest, routing, sides, transcript
+from ..operators.blocks import SCREEN
+from ..sources import files as files_, side_csv, transcripts
 from . import screens
 
 OK, BAD_INPUT, NO_IMAGES, NO_ROWS = 0, 2, 3, 4
@@ -75,7 +76,7 @@ def read_pictures(images: DataFrame, edge: Edge) -> DataFrame:
                         inside = [b for b in reader.lines(content) if 2 * x <= b.x + b.w / 2 < 2 * (x + w) and 2 * y <= b.y + b.h / 2 < 2 * (y + h)]
                         found.append([(_pos(b, 2 * w, profile), b) for b in inside])
                     tagged = perception.tagged(found)
-                    answers = [perception.ask_with_image(model, f"transcript of screen {k} of {image}", content) for k in range(1, len(found) + 1)]
+                    answers = [perception.ask_with_image(model, questions.draft_question(image, k), content) for k in range(1, len(found) + 1)]
                     rows.append((image, platform, tagged, answers, "ok", ""))
                 except Exception as e:  # one bad picture must not end the run
                     rows.append((image, platform, "", [], "failed", str(e)))
@@ -84,6 +85,56 @@ def read_pictures(images: DataFrame, edge: Edge) -> DataFrame:
     return images.select("image_id", "platform", "content").mapInPandas(run, "image_id string, platform string, content string, drafts array<string>, status string, reason string")
 
 
+def ask_about(rows: DataFrame, edge: Edge, candidate: str, question: Callable[[dict], str]) -> DataFrame:
+    """side_csv_text of answers, a question for each row (image_id, screen_idx, picture and whatever the question uses).
+
+    Callers filter first: a model runs on the rows given here and no others."""
+
+    def run(frames):
+        model = edge.model()
+        for frame in frames:
+            out = [(r["image_id"], r["screen_idx"], candidate, perception.ask_with_image(model, question(r), r["picture"])) for r in frame.to_dict("records")]
+            yield pd.DataFrame(out, columns=["image_id", "screen_idx", "candidate", "content"])
+
+    return rows.mapInPandas(run, SCHEMAS["side_csv_text"])
+
+
+def seen_platform(images: DataFrame, edge: Edge) -> DataFrame:
+    """image_id, seen: what a model takes each picture for; an error counts as unknown."""
+
+    def run(frames):
+        model = edge.model()
+        for frame in frames:
+            out = []
+            for image, content in frame.itertuples(index=False):
+                try:
+                    out.append((image, questions.platform_answer(model.ask(questions.platform_question(), content))))
+                except Exception as e:  # one picture's failure must not end the run
+                    print(f"[WARN] not classified: {image}: {e}")
+                    out.append((image, "unknown"))
+            yield pd.DataFrame(out, columns=["image_id", "seen"])
+
+    return images.select("image_id", "content").mapInPandas(run, "image_id string, seen string")
+
+
+def second_looks(known: screens.Screens, drafts: DataFrame, pictures: DataFrame, profile, edge: Edge, polish: bool) -> DataFrame:
+    """drafts with a repair for each screen that needs one and, with polish, a polished text for each screen with rows."""
+    expected = F.size("geometric" if profile.geometric else "timed")
+    normal = side_csv.write(sides.normalized(drafts, known.context, profile)).select(*SCREEN, F.col("content").alias("draft"))
+    every = drafts.select(*SCREEN).join(normal, list(SCREEN), "left").join(known.context.withColumn("expected", F.coalesce(expected, F.lit(0))), list(SCREEN)).join(pictures, "image_id")
+    needs = F.udf(lambda draft, n: candidates.needs_repair(draft or "", n), "boolean")
+    listed = every.select(*SCREEN, "draft", "expected", "allowed", "visible_date", "picture")
+    ask = lambda r: questions.repair_question(r["image_id"], r["screen_idx"], r["draft"] or "", "", list(r["allowed"] if r["allowed"] is not None else []), r["visible_date"] or "")
+    # Asked once, and kept: what chooses between the texts reads them again.
+    repairs = ask_about(listed.filter(needs("draft", "expected")), edge, "repair", ask).persist()
+    out = drafts.unionByName(repairs)
+    if polish:
+        chosen = candidates.choose(side_csv.write(sides.normalized(out, known.context, profile)), known.context, profile.additive, profile.geometric)
+        rows = chosen.filter(F.length("content") > len('"Time","Side","Message"\n')).join(pictures, "image_id")
+        out = out.unionByName(ask_about(rows, edge, "polish", lambda r: questions.polish_question(r["image_id"], r["screen_idx"], r["content"])).persist())
+    return out
+
+
 def _pos(b: perception.Block, width: int, profile) -> str:
     from ..functions import plain
 
@@ -92,7 +143,7 @@ def _pos(b: perception.Block, width: int, profile) -> str:
     return "RIGHT" if b.x >= width * profile.right_from else "LEFT"
 
 
-def run(spark: SparkSession, package: str, output: str, inputs: list[str] | None = None, case_report: str | None = None, edge: Edge | None = None, classify: str = "auto", force: str = "auto", keep_duplicates: bool = False, omit_emojis: bool = True, report_reader: perception.ReportReader | None = None, settings: dict | None = None) -> int:
+def run(spark: SparkSession, package: str, output: str, inputs: list[str] | None = None, case_report: str | None = None, edge: Edge | None = None, classify: str = "auto", force: str = "auto", keep_duplicates: bool = False, omit_emojis: bool = True, polish: bool = True, report_reader: perception.ReportReader | None = None, settings: dict | None = None) -> int:
     """Runs a package; returns 0, or 2 for bad input, 3 without pictures, 4 without rows. 3 and 4 still write a manifest."""
     edge = edge or Edge()
     try:
@@ -107,14 +158,22 @@ def run(spark: SparkSession, package: str, output: str, inputs: list[str] | None
         return NO_IMAGES
     report = _report(spark, plan, report_reader)
     named = plan.images.withColumn("image_id", F.col("absolute_path"))
-    routed = routing.routed(named.withColumn("platform", routing.platform(F.col("absolute_path"), F.lit(None).cast("string"), classify, force)))
+    by_path = named.withColumn("_path", routing.by_path(F.col("absolute_path")))
+    # A model is asked only where the path doesn't tell, or never.
+    asked = by_path.filter("_path = 'unknown'" if classify == "auto" else F.lit(classify == "vision")) if force == "auto" else by_path.limit(0)
+    seen = seen_platform(asked, edge).persist()
+    routed = routing.routed(by_path.join(seen, "image_id", "left").withColumn("platform", routing.platform(F.col("absolute_path"), F.col("seen"), classify, force)).drop("_path", "seen"))
     # Models are asked once: what pictures gave is kept for the steps that follow.
     read = read_pictures(routed.filter("status = 'ok'"), edge).persist()
     parts = []
     for name, profile in PROFILES.items():
         own = read.filter((F.col("platform") == name) & (F.col("status") == "ok"))
         drafts = own.select("image_id", F.posexplode("drafts").alias("k", "content")).select("image_id", (F.col("k") + 1).alias("screen_idx"), F.lit("draft").alias("candidate"), "content")
-        parts.append(screens.extract(own.select("image_id", "content"), report, drafts, profile, omit_emojis=omit_emojis))
+        pictures = own.select("image_id").join(plan.images.select(F.col("absolute_path").alias("image_id"), F.col("content").alias("picture")), "image_id")
+        known = screens.evidence(own.select("image_id", "content"), report, profile)
+        known = known._replace(blocks=known.blocks.persist(), context=known.context.persist())  # each is read by several steps
+        texts = second_looks(known, drafts, pictures, profile, edge, polish)
+        parts.append(screens.named(known, report, texts, profile, omit_emojis=omit_emojis))
     rows = reduce(DataFrame.unionByName, parts).join(routed.select("image_id", "image_seq"), "image_id")
     chat = rows.select((F.col("image_seq").cast("long") * (1 << 32) + F.col("row_no")).alias("seq"), "image_id", "time_text", "sender", "receiver", "message").persist()
     merged = transcript.merge(chat, keep_duplicates)
@@ -139,4 +198,4 @@ def _report(spark: SparkSession, plan: Plan, reader: perception.ReportReader | N
     return row.select("report_id", files_.report_text(F.col("content"), F.col("report_id")).alias("text"))
 
 
-__all__ = ["Edge", "Plan", "blocks_", "read_pictures", "resolve", "run", "sidemap"]
+__all__ = ["Edge", "Plan", "ask_about", "read_pictures", "resolve", "run", "second_looks", "seen_platform"]

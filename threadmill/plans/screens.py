@@ -53,13 +53,16 @@ def extract(ocr_text: DataFrame, report: DataFrame, drafts: DataFrame, profile:
     """image_id, row_no, time_text, sender, receiver, message of images of one platform.
 
     people: participants, by default those of the report; maps: side maps that a model gave, for images without evidence."""
-    known = evidence(ocr_text, report, profile, width)
+    return named(evidence(ocr_text, report, profile, width), report, drafts, profile, people, maps, omit_emojis)
+
+
+def named(known: Screens, report: DataFrame, drafts: DataFrame, profile: PlatformProfile, people: DataFrame | None = None, maps: DataFrame | None = None, omit_emojis: bool = True) -> DataFrame:
+    """extract() from evidence that is known already."""
     found = sidemap.side_map(known.blocks, people if people is not None else sidemap.participants(report))
     if maps is not None:
         found = found.unionByName(maps.join(found, "image_id", "left_anti").select(*found.columns))
     one = folds.postprocess(folds.merged_screens(rows(known, drafts, profile, omit_emojis)))
-    named = sidemap.apply(one.withColumn("screen_idx", F.lit(0)), found)
-    return named.select("image_id", "row_no", "time_text", "sender", "receiver", "message")
+    return sidemap.apply(one.withColumn("screen_idx", F.lit(0)), found).select("image_id", "row_no", "time_text", "sender", "receiver", "message")
 
 
 __all__ = ["SCREEN", "Screens", "evidence", "extract", "rows"]

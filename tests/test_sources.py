@@ -109,13 +109,21 @@ def test_platforms(spark):
 
 
 def test_splitting():
-    white = np.full((200, 310, 3), 255, np.uint8)
-    for x in (0, 160):
-        white[10:190, x + 5 : x + 145] = 90
-    assert splitting.screens(white) == [(5, 10, 140, 180), (165, 10, 140, 180)]
-    assert splitting.screens(np.full((50, 40, 3), 255, np.uint8)) == [(0, 0, 40, 50)]
-    assert splitting.screens(white, grid="2x1") == [(0, 0, 155, 200), (155, 0, 155, 200)]
+    white = np.full((420, 640, 3), 255, np.uint8)
+    for x in (0, 320):
+        white[10:410, x + 5 : x + 305] = 90
+    boxes = lambda found: [s.box for s in found]
+    assert boxes(splitting.screens(white)) == [(0, 0, 300, 400), (320, 0, 300, 400)]
+    assert boxes(splitting.screens(np.full((50, 40, 3), 255, np.uint8))) == [(0, 0, 40, 50)]
+    assert boxes(splitting.screens(white, grid="2x1")) == [(0, 0, 320, 420), (320, 0, 320, 420)]
     assert [b[2:] for b in splitting.layout_boxes(100, 90, [1, 3])] == [(100, 45), (33, 45), (33, 45), (34, 45)]
+    dark = np.full((600, 800, 3), 60, np.uint8)
+    assert boxes(splitting.screens(dark)) == [(0, 0, 800, 600)]
+    assert boxes(splitting.screens(dark, wide=True)) == [(0, 0, 400, 600), (400, 0, 400, 600)]
+    assert boxes(splitting.by_shape(dark[:, :500])) == [(0, 0, 500, 600)]
+    dark[295:305] = 255
+    assert [b[1] for b in boxes(splitting.by_shape(dark))] == [0] * 4 + [300] * 4
+    assert boxes(splitting.screens(dark[:290], contours=lambda p: splitting._cut(p, [(0, 0, 9, 9), (9, 0, 9, 9)]))) == [(0, 0, 9, 9), (9, 0, 9, 9)]
     for bad in ("2", "ax2", "0x1"):
         with pytest.raises(ValueError):
             splitting.parse_grid(bad)

@@ -71,7 +71,7 @@ def read_pictures(images: DataFrame, edge: Edge) -> DataFrame:
                 try:
                     profile, found = PROFILES[platform], []
                     picture = reader.decode(content)
-                    for x, y, w, h in splitting.screens(picture, edge.grid, edge.layout):
+                    for x, y, w, h in [s.box for s in splitting.screens(picture, edge.grid, edge.layout, profile.geometric)]:
                         # Blocks are in coordinates of the picture at twice its size, thresholds too.
                         inside = [b for b in reader.lines(content) if 2 * x <= b.x + b.w / 2 < 2 * (x + w) and 2 * y <= b.y + b.h / 2 < 2 * (y + h)]
                         found.append([(_pos(b, 2 * w, profile), b) for b in inside])
@@ -174,9 +174,9 @@ def run(spark: SparkSession, package: str, output: str, inputs: list[str] | None
         known = known._replace(blocks=known.blocks.persist(), context=known.context.persist())  # each is read by several steps
         texts = second_looks(known, drafts, pictures, profile, edge, polish)
         parts.append(screens.named(known, report, texts, profile, omit_emojis=omit_emojis))
-    rows = reduce(DataFrame.unionByName, parts).join(routed.select("image_id", "image_seq"), "image_id")
-    chat = rows.select((F.col("image_seq").cast("long") * (1 << 32) + F.col("row_no")).alias("seq"), "image_id", "time_text", "sender", "receiver", "message").persist()
-    merged = transcript.merge(chat, keep_duplicates)
+    rows = reduce(DataFrame.unionByName, parts).join(routed.select("image_id", "image_order"), "image_id")
+    chat = rows.select("image_order", "image_id", "row_no", "time_text", "sender", "receiver", "message").persist()
+    merged = transcript.merge(chat, keep_duplicates, ("image_order", "image_id", "row_no"))
     per = chat.groupBy("image_id").agg(F.count("*").cast("int").alias("rows"))
     done = read.select("image_id", F.col("status").alias("_status"), F.col("reason").alias("_reason"))
     items = routed.drop("content").join(done, "image_id", "left").join(per, "image_id", "left").select(F.col("image_id").alias("image"), "platform", F.lit("").alias("csv"), F.lit("").alias("debug_dir"), F.coalesce("_status", "status").alias("status"), F.coalesce("_reason", "reason").alias("reason"), F.coalesce("rows", F.lit(0)).alias("rows"))

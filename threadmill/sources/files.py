@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import tables as t
 
@@ -143,10 +143,12 @@ def scan(spark: SparkSession, sources: list[EvidenceSource]) -> DataFrame:
 
 
 def images(files: DataFrame) -> DataFrame:
-    """The image files, each path once, with image_seq by lower-cased path."""
-    first = Window.partitionBy("absolute_path").orderBy("source")
-    once = files.filter(is_image(F.col("absolute_path"))).withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return once.withColumn("image_seq", F.row_number().over(Window.orderBy(F.lower("absolute_path"), "absolute_path")))
+    """The image files, each path once, with image_order, by which rows of several images are put in order.
+
+    Repeats are told by names alone, so contents are neither shuffled for a window nor numbered in one place."""
+    found = files.filter(is_image(F.col("absolute_path")))
+    once = found.groupBy("absolute_path").agg(F.min("source").alias("source"))
+    return found.join(once, ["absolute_path", "source"], "left_semi").select(*files.columns, F.lower("absolute_path").alias("image_order"))
 
 
 def report_score(path: Column) -> Column:

@@ -21,19 +21,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share.
 
-    The cluster names it in spark.checkpoint.dir. Where that is unset (tests, one machine) /tmp/checkpoints is used and set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "/tmp/checkpoints"
-    spark.sparkContext.setCheckpointDir(base)
+    The cluster names it in spark.checkpoint.dir; where that is unset (tests, one machine) it is /tmp/checkpoints."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Writes df to the shared folder and reads it again: cuts the lineage, and outlives the executors that made it."""
+    """Writes df to the shared folder and reads it again: cuts the lineage, and outlives the executors that made it.
+
+    The shuffle files behind it aren't needed any more then, and are dropped at once."""
     spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.parquet(path)
+    path, before = shared_folder(spark, name), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,6 +24,8 @@ PIECE = 20
 SHARD_BYTES = 12_000_000
 #: Text whose segments a task sends on together, in bytes.
 SEND_BYTES = 12_000_000
+#: Text that is hashed together, in bytes.
+HASHED_BYTES = 1_500_000
 _LAST = 2**63 - 1
 _U = np.uint64
 #: A byte that UTF-8 never has stands between segments.
@@ -280,20 +282,32 @@ def _send(docs: DataFrame, shards: int) -> DataFrame:
                 rows.append(((turn * 7919 + int(by[0])) % shards, None, _packed(done)))
             return to_batch(schema, list(zip(*rows))) if rows else None
 
+        def some(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
+            """Rows, about HASHED_BYTES of text at a time: hashing takes some hundred bytes for each of the text."""
+            rows, size = ([], [], []), 0
+            for batch in batches:
+                for by, text_hash, text in zip(*batch.columns):
+                    raw = text.as_py().encode("utf-8", "surrogatepass")
+                    for column, v in zip(rows, (by.as_py(), text_hash.as_py(), raw)):
+                        column.append(v)
+                    size += len(raw)
+                    if size >= HASHED_BYTES:
+                        yield rows
+                        rows, size = ([], [], []), 0
+            if rows[0]:
+                yield rows
+
         bys, hashes, parts, size = [], [], [], 0
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                some = batch.slice(at, 64)
-                raw = [t.encode("utf-8", "surrogatepass") for t in some.column(2).to_pylist()]
-                doc, *rest = segments(raw)
-                parts.append((doc + len(bys), *rest))
-                bys += some.column(0).to_pylist()
-                hashes += some.column(1).to_pylist()
-                size += sum(map(len, raw))
-                if size >= SEND_BYTES:
-                    if (out := parcel(bys, hashes, parts)) is not None:
-                        yield out
-                    bys, hashes, parts, size = [], [], [], 0
+        for own_by, own_hash, raw in some(batches):
+            doc, *rest = segments(raw)
+            parts.append((doc + len(bys), *rest))
+            bys += own_by
+            hashes += own_hash
+            size += sum(map(len, raw))
+            if size >= SEND_BYTES:
+                if (out := parcel(bys, hashes, parts)) is not None:
+                    yield out
+                bys, hashes, parts, size = [], [], [], 0
         if parts and (out := parcel(bys, hashes, parts)) is not None:
             yield out
 

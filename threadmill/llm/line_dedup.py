@@ -118,7 +118,8 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield to_batch(_TEXTS, list(zip(*rows)))
 
     per = wanted.groupBy("by", "text_hash").agg(F.collect_list(F.struct("line", "node", "flags")).alias("asked")).withColumnsRenamed({"by": "_by", "text_hash": "_hash"})
-    both = docs.join(per, (F.col("by") == F.col("_by")) & (F.col("text_hash") == F.col("_hash"))).select("text", "asked")
+    # The documents asked for grow with the input: never broadcast, also where a small input would allow it.
+    both = docs.join(per.hint("merge"), (F.col("by") == F.col("_by")) & (F.col("text_hash") == F.col("_hash"))).select("text", "asked")
     return both.mapInArrow(run, "node long, flags int, content string")
 
 

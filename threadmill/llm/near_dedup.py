@@ -55,7 +55,7 @@ def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarr
     doc = np.searchsorted(stops, begin, side="right")
     count = np.bincount(doc, minlength=len(texts))
     whole = np.zeros(len(word), np.uint64)
-    for k in range(words):
+    for k in range(min(words, len(word))):
         part = word * _U((0xD6E8FEB86659FD93 * (2 * k + 1)) % 2**64)
         whole[: len(word) - k] += part[k:] if k else part
     first = np.cumsum(count) - count
@@ -177,6 +177,56 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return both.filter(common >= similarity * (F.size("ra") + F.size("rb") - common)).select("a", "b").distinct()
 
 
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+#: Nodes of a bucket that one task compares with others at a time.
+BLOCK = 256
+
+
+def linked(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> Iterator[tuple[int, int]]:
+    """Pairs (of left, of right) of sets whose similarity is that or more; every left set is looked up in all right ones at once."""
+    size = np.array([len(r) for r in right])
+    every, owner = np.concatenate(right), np.repeat(np.arange(len(right)), size)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    for k, own in enumerate(left):
+        lo, hi = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+        n = hi - lo
+        hit = owner[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        common = np.bincount(hit, minlength=len(right))
+        for j in np.flatnonzero(common >= similarity * (len(own) + size - common)):
+            yield k, int(j)
+
+
+def _across(split: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links between nodes of one bucket that have different labels. split: band, node, label of buckets with several labels.
+
+    In each bucket the label that most nodes have is set apart; the nodes of others (few, as a rule) meet all nodes, and none of
+    that label meets another. Nodes meet in blocks of about BLOCK, a group for each two blocks, so a group's size is bounded
+    whatever the bucket's; each set is sent once for each block of the others, not once for each pair."""
+    counts = split.groupBy("band", "label").agg(F.count("*").alias("c"))
+    per = counts.groupBy("band").agg(F.max_by("label", F.struct("c", "label")).alias("most"), F.sum("c").alias("m"), F.max("c").alias("c"))
+    known = split.join(per, "band").withColumn("odd", F.col("label") != F.col("most"))
+    rows, columns = (F.greatest(F.lit(1), F.ceil(x / BLOCK)).cast("int") for x in (F.col("m") - F.col("c"), F.col("m")))
+    place = F.abs(F.xxhash64("node"))
+    as_row = known.filter("odd").select("band", "node", "label", F.lit(True).alias("first"), (place % rows).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), columns - 1)).alias("j"))
+    as_column = known.select("band", "node", "label", F.lit(False).alias("first"), F.explode(F.sequence(F.lit(0), rows - 1)).alias("i"), (place % columns).cast("int").alias("j"))
+    dealt = as_row.unionByName(as_column).join(sets.select("node", "regions"), "node")
+
+    def run(table: pa.Table) -> pa.Table:
+        node, label, first = (np.asarray(table.column(c)) for c in ("node", "label", "first"))
+        regions = [np.sort(np.asarray(r.values)) for r in table.column("regions")]
+        left, right = np.flatnonzero(first), np.flatnonzero(~first)
+        found = []
+        if len(left) and len(right):
+            for k, j in linked([regions[x] for x in left], [regions[x] for x in right], similarity):
+                x, y = left[k], right[j]
+                if label[x] != label[y]:
+                    found.append((min(node[x], node[y]), max(node[x], node[y])))
+        return pa.Table.from_batches([to_batch(_LINKS, list(zip(*found)) or [[], []])], _LINKS)
+
+    return dealt.groupBy("band", "i", "j").applyInArrow(run, "a long, b long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label (the smallest node that it is connected to) for all nodes of links (a, b).
 
@@ -197,8 +247,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_
     """One row for each row of docs: doc_id, class_id (the smallest doc_id of its class), class_size, kept, and text_hash.
 
     Documents whose weighted sets of shingles are equal are one node, however many; nodes are compared where they share a band:
-    first each with the smallest of its bucket, which joins large groups without their pairs, then those that are still in
-    different classes with each other, so no link is lost that a bucket shows. Each comparison is exact. A class is a connected
+    first each with the smallest of its bucket, which joins large groups without their pairs, then, in blocks, those that are not
+    of their bucket's largest class with all others, so no link is lost that a bucket shows. Each comparison is exact. A class is a connected
     component. Its kept row is that of the smallest doc_id; of rows that agree in it, one. A null or empty text has no shingle;
     such rows are one class. A null id counts as the largest. An empty table gives no rows; no other column is read."""
     plain = text_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
@@ -214,13 +264,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_
     sets = stored(_sets(plain, wanted), "sets")
     links = stored(_verified(pairs, sets, similarity), "links")
     labels = components(links)
-    known = buckets.join(labels, "node", "left").select("band", "node", "n", F.coalesce("label", "node").alias("label"))
+    known = buckets.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     mixed_up = known.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("band")
     split = stored(known.join(mixed_up, "band", "left_semi"), "split")
-    other = split.select("band", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    fits = (F.least("n", "nb") >= similarity * F.greatest("n", "nb")) & (F.col("node") < F.col("b")) & (F.col("label") != F.col("lb"))
-    across = split.join(other, "band").filter(fits).select(F.col("node").alias("a"), "b").distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stored(_verified(across, sets, similarity), "links")
+    more = stored(_across(split, sets, similarity), "links")
     if more.limit(1).count():
         labels = components(links.union(more))
     named = nodes.join(labels, "node", "left").select("d1", "d2", "n", "rep", "copies", F.coalesce("label", "node").alias("label"))

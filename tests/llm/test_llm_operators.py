@@ -238,6 +238,21 @@ def test_exact_classes(spark, odd, empty):
     assert exact_dedup.without_copies(odd).count() == 6 and exact_dedup.without_copies(odd).columns == odd.columns
 
 
+def test_without_copies_when_files_are_packed_anew(spark, tmp_path):
+    rows = [(i, f"text {i // 2 if i % 3 else i} " + "y" * (i * 37 % 400)) for i in range(120)]
+    rows += [(1000 + i, t) for i, t in rows]
+    table(spark, rows).repartition(12).write.parquet(str(tmp_path / "docs"))
+    packing_of, before = "spark.sql.files.minPartitionNum", spark.conf.get("spark.sql.files.minPartitionNum", None)
+    try:
+        spark.conf.set(packing_of, "1")
+        out = exact_dedup.without_copies(spark.read.parquet(str(tmp_path / "docs")))
+        spark.conf.set(packing_of, "12")
+        got = out.collect()
+    finally:
+        spark.conf.unset(packing_of) if before is None else spark.conf.set(packing_of, before)
+    assert sorted(r.text for r in got) == sorted({t for _, t in rows}) and all(r.doc_id < 1000 for r in got)
+
+
 # Near copies
 
 

@@ -29,13 +29,13 @@ def _first_names(blocks: DataFrame) -> DataFrame:
     return stored(per_hash.select("hash", (F.col("least") != F.col("most")).alias("clash"), F.monotonically_increasing_id().alias("name")), "blocks")
 
 
-def identities(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", hashed=F.xxhash64) -> DataFrame:
-    """One row for each row of docs: row (a number of its own), doc_id, n_chars, sha256 (of the text without BLANKS), levels, name.
+def identities(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", hashed=F.xxhash64, row_col: str | None = None) -> DataFrame:
+    """One row for each row of docs: row (row_col, or a number of its own), doc_id, n_chars, sha256 (of the text without BLANKS), levels, name.
 
     Two texts without BLANKS are equal if and only if levels and name are. Names are integers; hashes only deal rows out and
     stand for contents once those have been compared (hashed is a parameter so that tests can make it clash)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    base = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.length(text).cast("long").alias("n_chars"), F.regexp_replace(text, BLANKS + "+", "").alias("norm"))
+    base = docs.select((F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"), F.length(text).cast("long").alias("n_chars"), F.regexp_replace(text, BLANKS + "+", "").alias("norm"))
     data = F.col("norm").cast("binary")
     base = base.select("row", "doc_id", "n_chars", F.unhex(F.sha2(data, 256)).alias("sha256"), data.alias("data"), F.greatest(F.lit(1), F.ceil(F.octet_length(data) / block)).cast("int").alias("n"))
     cut = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.substring(F.col("data"), k * block + 1, F.lit(block)))
@@ -44,6 +44,8 @@ def identities(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text
     own = [F.when(F.col("k") == 0, F.col(c)).alias(c) for c in ("doc_id", "n_chars", "sha256")]
     names = _first_names(blocks.select("hash", "block"))
     if names.filter("clash").limit(1).count():
+        # Read twice below: numbered once.
+        blocks = stored(blocks, "clashing")
         exact = _named(blocks.join(names.filter("clash").select("hash"), "hash", "left_semi"), "hash", "block")
         clear = blocks.join(names.filter("not clash").select("hash", "name"), "hash")
         offset = names.agg(F.max("name")).first()[0] + 1
@@ -69,14 +71,15 @@ def identities(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text
     return out.select("row", "doc_id", "n_chars", "sha256", "levels", "name")
 
 
-def classes(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", hashed=F.xxhash64) -> DataFrame:
-    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256, and row (monotonically_increasing_id() of docs).
+def classes(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", hashed=F.xxhash64, row_col: str | None = None) -> DataFrame:
+    """One row for each row of docs: doc_id, keep_id, group_size, kept, text_sha256, and row (row_col, or a number made here that
+    no other read of docs repeats for sure).
 
     Texts are equal if they are so without BLANKS; of equal ones the row with the most code points stays, then the smallest
     doc_id. A null text counts as empty, and empty ones are equal. A null id counts as the largest. Of rows that agree in id and
     length just one is kept. An empty table gives no rows; no other column is read. Groups of any size are counted by tasks
     before they meet, and joined back row by row."""
-    known = identities(docs, block, id_col, text_col, hashed)
+    known = identities(docs, block, id_col, text_col, hashed, row_col)
     best = F.min(F.struct((-F.col("n_chars")).alias("shorter"), F.coalesce("doc_id", F.lit(_LAST)).alias("by"), "row", "doc_id"))
     groups = stored(known.groupBy("levels", "name").agg(best.alias("best"), F.count("*").alias("group_size")), "groups")
     return known.join(groups, ["levels", "name"]).select(
@@ -90,6 +93,9 @@ def classes(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_co
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that classes() doesn't keep; all columns stay. docs is a table, whose rows are read in one order."""
-    kept = classes(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("row").alias("_row"))
-    return docs.withColumn("_row", F.monotonically_increasing_id()).join(kept, "_row", "left_semi").select(*docs.columns)
+    """docs without the rows that classes() doesn't keep; all columns stay.
+
+    docs is stored once with its row numbers, for classes() and for the join: another scan may pack files differently."""
+    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    kept = classes(numbered, id_col=id_col, text_col=text_col, row_col="_row").filter("kept").select(F.col("row").alias("_row"))
+    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)

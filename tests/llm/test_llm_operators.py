@@ -219,6 +219,27 @@ def test_repeats_equal_brute_force(spark, odd, empty):
     assert suffix_dedup.repeated_passages(odd).count() == len(ODD)
 
 
+def hot_docs():
+    """A passage in most documents, other text around it each time."""
+    passage = prose(60, 77)
+    docs = {d: prose(20, 1000 + d) + " " + passage + " " + prose(20, 5000 + d) for d in range(120)}
+    return docs | {d: prose(40, d) for d in range(200, 230)}
+
+
+@pytest.mark.parametrize(("sent", "met"), [(500, 20), (20, 20_000), (2, 3)])
+def test_hot_pieces_equal_brute_force(spark, sent, met):
+    docs = hot_docs() | {300: "c" * 300, 301: None, 302: "ab" * 200, 303: "c" * 200}
+    found = suffix_dedup.found_spans(table(spark, docs.items()).repartition(5), sent_hot=sent, met_hot=met)
+    assert {r.doc_id: tuple(r)[1:] for r in suffix_dedup.digest(found).collect()} == plain_repeats(docs)
+
+
+def test_a_hot_piece_is_dealt_to_many_shards(spark):
+    plain = table(spark, hot_docs().items()).selectExpr("doc_id as `by`", "xxhash64(text) as text_hash", "text").repartition(4)
+    asked = suffix_dedup._meet(suffix_dedup._send(plain, 1, 20), 20_000).filter(f"kind = {suffix_dedup._UNSURE}")
+    size = [len(suffix_dedup._joined([r.lines], suffix_dedup._LINE)["by"]) for r in suffix_dedup._cut_out(plain, asked, 16).filter("lines is not null").collect()]
+    assert max(size) < sum(size) / 4
+
+
 # Exact copies
 
 

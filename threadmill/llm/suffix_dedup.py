@@ -5,6 +5,9 @@ belong to the same piece make a segment (80 bytes at most). Equal strings belong
 piece brings all copies of any 50-byte string to one shard, and pieces that just one document has are done with. Equal segments
 are interned; the others of a shard are joined into one text whose suffix array puts equal strings side by side, and the
 adjacent common prefixes tell which are. What is repeated goes by the smallest doc_id that has it.
+
+A piece that has many different segments (the ends of a common passage, with other text around it each time) is hot: its strings
+are dealt by their own 50 bytes instead, each alone, and those that are equal meet inside tasks before.
 """
 
 from __future__ import annotations
@@ -26,6 +29,14 @@ SHARD_BYTES = 12_000_000
 SEND_BYTES = 12_000_000
 #: Text that is hashed together, in bytes.
 HASHED_BYTES = 1_500_000
+#: Different segments of a piece, in one parcel or after they have met, from which it is hot.
+SENT_HOT, MET_HOT = 500, 20_000
+#: Text to sort in one shard, in bytes; the number of these shards follows what there is to sort.
+SORT_BYTES = 12_000_000
+#: Text of whole pieces in one suffix array, in bytes: it takes some hundred bytes for each of the text.
+ARRAY_BYTES = 2_000_000
+#: Strings that a task cuts out and deals on together.
+CUT_STRINGS = 150_000
 _LAST = 2**63 - 1
 _U = np.uint64
 #: A byte that UTF-8 never has stands between segments.
@@ -218,15 +229,15 @@ def _joined(blobs: Iterable[bytes], kinds: dict[str, str]) -> dict[str, np.ndarr
 
 
 #: by: doc_id with the largest number for null; text: the text's hash, which tells rows of one doc_id apart.
-_SEG = {"piece": "<u8", "contents": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "count": "u1"}
+_SEG = {"piece": "<u8", "contents": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "count": "u1", "hot": "u1"}
 _SPANS = {"start": "<u4", "count": "<u4"}
-_FOUND = pa.schema([("by", pa.int64()), ("text", pa.int64()), ("kind", pa.int32()), ("content", pa.binary())])
-_FOUND_SQL = "by long, text long, kind int, content binary"
+_FOUND = pa.schema([("by", pa.int64()), ("text", pa.int64()), ("kind", pa.int32()), ("content", pa.binary()), ("n_bytes", pa.int64())])
+_FOUND_SQL = "by long, text long, kind int, content binary, n_bytes long"
 _REMOVED, _UNSURE = 0, 1
 
 
 def _grouped(columns: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
-    """A row for each document among the segments."""
+    """A row for each document among the segments; n_bytes is of what there is to sort, hot segments as single strings."""
     order = np.lexsort((columns["start"], columns["text"], columns["by"]))
     c = {k: v[order] for k, v in columns.items()}
     n = len(order)
@@ -235,7 +246,9 @@ def _grouped(columns: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
     stops = np.append(first[1:], n)
     rest = [k for k in c if k not in ("by", "text")]
     content = [b"".join(c[k][a:b].tobytes() for k in rest) for a, b in zip(first.tolist(), stops.tolist())]
-    return to_batch(_FOUND, [c["by"][first], c["text"][first], [kind] * len(first), content])
+    count = c["count"].astype(np.int64)
+    n_bytes = np.where(c["hot"] == 1, count * LENGTH, count + LENGTH - 1) if kind == _UNSURE else np.zeros(n, np.int64)
+    return to_batch(_FOUND, [c["by"][first], c["text"][first], [kind] * len(first), content, np.add.reduceat(n_bytes, first)])
 
 
 def _ungrouped(content: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
@@ -258,9 +271,16 @@ def _interned(s: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarr
     return s, fresh, s["by"] > least
 
 
-def _send(docs: DataFrame, shards: int) -> DataFrame:
-    """shard, content: the segments of each task's documents, equal ones once. What that settles goes to any shard."""
-    schema = pa.schema([("shard", pa.int64()), ("content", pa.binary()), ("settled", pa.binary())])
+def _per_piece(piece: np.ndarray) -> np.ndarray:
+    """The number of each segment's piece; segments are in order of it."""
+    return np.cumsum(np.concatenate(([0], piece[1:] != piece[:-1]))) if len(piece) else np.zeros(0, np.int64)
+
+
+def _send(docs: DataFrame, shards: int, hot: int) -> DataFrame:
+    """shard, content: the segments of each task's documents, equal ones once. What that settles goes to any shard.
+
+    So do the segments of pieces that are hot already (asked): just one of each such piece goes to the piece's own shard, marked."""
+    schema = pa.schema([("shard", pa.int64()), ("content", pa.binary()), ("settled", pa.binary()), ("asked", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
@@ -269,17 +289,24 @@ def _send(docs: DataFrame, shards: int) -> DataFrame:
             nonlocal turn
             doc, start, count, piece, contents = (np.concatenate(x) for x in zip(*parts))
             by, text = np.array(bys, np.int64), np.array(hashes, np.int64)
-            s = {"piece": piece, "contents": contents & _MASK, "by": by[doc], "text": text[doc], "start": start.astype("<u4"), "count": count.astype("u1")}
+            s = {"piece": piece, "contents": contents & _MASK, "by": by[doc], "text": text[doc], "start": start.astype("<u4"), "count": count.astype("u1"), "hot": np.zeros(len(doc), "u1")}
             s, _, later = _interned(s)
             # Later copies of a segment in the same parcel are repeats already.
             done = _merged({k: s[k][later] for k in ("by", "text", "start", "count")})
             left = {k: v[~later] for k, v in s.items()}
+            group = _per_piece(left["piece"])
+            left["hot"] = (np.bincount(group)[group] > hot).astype("u1") if len(group) else left["hot"]
+            spared = (left["hot"] == 1) & np.concatenate(([False], group[1:] == group[:-1]))[: len(group)]
+            ask = {k: left[k][spared] for k in _ASKED_SEG}
+            if len(ask["by"]):
+                left = {k: v[~spared] for k, v in left.items()}
+            del s, group, spared
             shard = (left["piece"] >> _U(32)) * _U(shards) >> _U(32)
             cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=_U))
-            rows = [(k, _packed({c: v[a:b] for c, v in left.items()}), None) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
-            if len(done["by"]):
+            rows = [(k, _packed({c: v[a:b] for c, v in left.items()}), None, None) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
+            if len(done["by"]) or len(ask["by"]):
                 turn += 1
-                rows.append(((turn * 7919 + int(by[0])) % shards, None, _packed(done)))
+                rows.append(((turn * 7919 + int(by[0])) % shards, None, _packed(done), _packed(ask)))
             return to_batch(schema, list(zip(*rows))) if rows else None
 
         def some(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list, list, list[bytes]]]:
@@ -311,7 +338,7 @@ def _send(docs: DataFrame, shards: int) -> DataFrame:
         if parts and (out := parcel(bys, hashes, parts)) is not None:
             yield out
 
-    return docs.mapInArrow(run, "shard long, content binary, settled binary")
+    return docs.mapInArrow(run, "shard long, content binary, settled binary, asked binary")
 
 
 _DONE = {"by": "<i8", "text": "<i8", "start": "<u4", "count": "<u4"}
@@ -333,28 +360,39 @@ def _merged(s: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {"by": by[first], "text": text[first], "start": start[first].astype("<u4"), "count": (end - start[first]).astype("<u4")}
 
 
-_ASKED = {"start": "<u4", "count": "u1", "piece": "<u8"}
+_ASKED = {"start": "<u4", "count": "u1", "piece": "<u8", "hot": "u1"}
+_ASKED_SEG = {"by": "<i8", "text": "<i8", **_ASKED}
+
 
+def _meet(sent: DataFrame, most: int) -> DataFrame:
+    """Per shard: segments whose piece several documents have; later copies are settled, first ones are left to sort.
 
-def _meet(sent: DataFrame) -> DataFrame:
-    """Per shard: segments whose piece several documents have; later copies are settled, first ones are left to sort."""
+    A piece is hot if a parcel has marked it or more than `most` segments of it are left."""
 
     def run(table: pa.Table) -> pa.Table:
         out = []
         settled = _joined([c.as_py() for c in table.column("settled") if c.is_valid], _DONE)
+        asked = [_joined([c.as_py() for c in table.column("asked") if c.is_valid], _ASKED_SEG)]
         s, fresh, later = _interned(_joined([c.as_py() for c in table.column("content") if c.is_valid], _SEG))
         if len(fresh):
             done = _merged({k: s[k][later] for k in ("by", "text", "start", "count")})
             settled = {k: np.concatenate((settled[k], done[k])) for k in settled}
             left = {k: v[~later] for k, v in s.items()}
-            group = np.cumsum(np.concatenate(([0], left["piece"][1:] != left["piece"][:-1]))) if len(left["piece"]) else np.zeros(0, np.int64)
+            # A first copy of each segment is left, so pieces keep their numbers.
+            group = _per_piece(s["piece"])
+            marked = np.bincount(group, s["hot"]) > 0
+            group = group[~later]
             low, high = np.full(int(group[-1]) + 1, _LAST), np.full(int(group[-1]) + 1, -_LAST - 1)
             np.minimum.at(low, group, left["by"])
             np.maximum.at(high, group, left["by"])
-            shared = (low < high)[group]
-            ask = {k: left[k][shared] for k in ("by", "text", "start", "count", "piece")}
-            if len(ask["by"]):
-                out.append(_grouped(ask, _UNSURE))
+            marked |= (low < high) & (np.bincount(group) > most)
+            left["hot"] = marked[group].astype("u1")
+            shared = ((low < high) | marked)[group]
+            asked.append({k: left[k][shared] for k in _ASKED_SEG})
+            del s, left, group, shared, later
+        ask = {k: np.concatenate([x.pop(k) for x in asked]) for k in _ASKED_SEG}
+        if len(ask["by"]):
+            out.append(_grouped(ask, _UNSURE))
         if len(settled["by"]):
             out.append(_grouped(settled, _REMOVED))
         return pa.Table.from_batches(out, _FOUND)
@@ -365,11 +403,41 @@ def _meet(sent: DataFrame) -> DataFrame:
 _LINE = {"piece": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "size": "u1"}
 
 
+def _strings(raws: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All strings of some segments of that many bytes: their segment, their start in it, and their bytes as rows of a table."""
+    count = size - LENGTH + 1
+    owner = np.repeat(np.arange(len(size)), count)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    every = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b"".join(raws), np.uint8), LENGTH)
+    return owner, offset, every[(np.cumsum(size) - size)[owner] + offset]
+
+
+def _first_strings(strings: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each string, and which are of a later document than another that has the same bytes: those are compared."""
+    words = np.zeros((len(strings), -(-LENGTH // 8) * 8), np.uint8)
+    words[:, :LENGTH] = strings
+    key = np.zeros(len(strings), _U)
+    for w in words.view("<u8").T:
+        key = (key ^ w) * _U(0x9E3779B97F4A7C15)
+        key ^= key >> _U(29)
+    key = (key ^ key >> _U(32)) * _U(0xD6E8FEB86659FD93)
+    order = np.lexsort((by, key))
+    same = (strings[order[1:]] == strings[order[:-1]]).all(axis=1)
+    fresh = np.concatenate(([True], ~same))[: len(order)]
+    least = by[order][np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+    later = np.zeros(len(order), bool)
+    later[order] = by[order] > least
+    return key, later
+
+
 def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
-    """shard, lines, text: the asked segments' bytes, of each document from its own text."""
+    """shard, lines, text: the asked segments' bytes, of each document from its own text; settled: what is known by then.
+
+    Segments of hot pieces come as their strings, dealt by their own bytes; those that an earlier document of the parcel has too
+    are settled, so a string that very many documents have comes once from each parcel."""
     per = asked.groupBy("by", "text").agg(F.collect_list("content").alias("contents")).select(F.col("by").alias("_by"), F.col("text").alias("_text"), "contents")
     both = docs.join(per, (F.col("by") == F.col("_by")) & (F.col("text_hash") == F.col("_text"))).select("by", "text_hash", "text", "contents")
-    schema = pa.schema([("shard", pa.int64()), ("lines", pa.binary()), ("bytes", pa.binary())])
+    schema = pa.schema([("shard", pa.int64()), ("lines", pa.binary()), ("bytes", pa.binary()), ("settled", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -378,8 +446,20 @@ def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
         size = 0
 
         def parcel() -> pa.RecordBatch:
-            piece, by, text, start = (np.concatenate([h[k] for h in held]) for k in range(4))
-            chunks = [c for h in held for c in h[4]]
+            piece, by, text, start, hot = (np.concatenate([h[k] for h in held]) for k in range(5))
+            chunks = [c for h in held for c in h[5]]
+            settled = None
+            if hot.any():
+                at = np.flatnonzero(hot)
+                owner, offset, strings = _strings(raws := [chunks[i] for i in at.tolist()], np.array([len(c) for c in raws]))
+                owner = at[owner]
+                key, later = _first_strings(strings, by[owner])
+                found = {"by": by[owner], "text": text[owner], "start": start[owner] + offset}
+                settled = _merged({**{k: v[later] for k, v in found.items()}, "count": np.ones(int(later.sum()), np.int64)})
+                cold, kept = ~hot, ~later
+                chunks = [c for c, h in zip(chunks, hot.tolist()) if not h] + [x.tobytes() for x in strings[kept]]
+                piece = np.concatenate((piece[cold], key[kept]))
+                by, text, start = (np.concatenate((x[cold], found[k][kept])) for k, x in (("by", by), ("text", text), ("start", start)))
             shard = (piece >> _U(32)) * _U(shards) >> _U(32)
             order = np.argsort(shard, kind="stable")
             length = np.array([len(c) for c in chunks], "u1")
@@ -388,27 +468,29 @@ def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
             for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
                 if b > a:
                     own = order[a:b]
-                    lines = {"piece": piece[own], "by": by[own], "text": text[own], "start": start[own], "size": length[own]}
-                    rows.append((k, _packed(lines), zstandard.ZstdCompressor(level=1).compress(b"".join([chunks[i] for i in own.tolist()]))))
+                    lines = {"piece": piece[own], "by": by[own], "text": text[own], "start": start[own].astype("<u4"), "size": length[own]}
+                    rows.append((k, _packed(lines), zstandard.ZstdCompressor(level=1).compress(b"".join([chunks[i] for i in own.tolist()])), None))
+            if settled is not None and len(settled["by"]):
+                rows.append((int(settled["start"][0]) % shards, None, None, _packed(settled)))
             return to_batch(schema, list(zip(*rows)))
 
         for batch in batches:
             for by, text_hash, text, contents in zip(*[batch.column(k) for k in range(4)]):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
                 parts = [_ungrouped(c, _ASKED) for c in contents.as_py()]
-                start, count, piece = (np.concatenate([p[k] for p in parts]) for k in _ASKED)
+                start, count, piece, hot = (np.concatenate([p[k] for p in parts]) for k in _ASKED)
                 ends = start.astype(np.int64) + count + LENGTH - 1
                 chunks = [raw[a:b] for a, b in zip(start.tolist(), ends.tolist())]
                 n = len(start)
-                held.append((piece, np.full(n, by.as_py()), np.full(n, text_hash.as_py()), start, chunks))
-                size += n
-                if size >= 150_000:
+                held.append((piece, np.full(n, by.as_py()), np.full(n, text_hash.as_py()), start, hot == 1, chunks))
+                size += int(np.where(hot == 1, count, 1).sum())
+                if size >= CUT_STRINGS:
                     yield parcel()
                     held, size = [], 0
         if held:
             yield parcel()
 
-    return both.mapInArrow(run, "shard long, lines binary, bytes binary")
+    return both.mapInArrow(run, "shard long, lines binary, bytes binary, settled binary")
 
 
 def repeats(raw: np.ndarray, size: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -441,11 +523,25 @@ def _sort(parcels: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         import zstandard
 
-        line = _joined([c.as_py() for c in table.column("lines")], _LINE)
-        raw = np.frombuffer(b"".join([zstandard.decompress(c.as_py()) for c in table.column("bytes")]), np.uint8)
-        segment, offset = repeats(raw, line["size"].astype(np.int64), line["by"])
+        line = _joined([c.as_py() for c in table.column("lines") if c.is_valid], _LINE)
+        raw = np.frombuffer(b"".join([zstandard.decompress(c.as_py()) for c in table.column("bytes") if c.is_valid]), np.uint8)
+        settled = _joined([c.as_py() for c in table.column("settled") if c.is_valid], _DONE)
+        size = line["size"].astype(np.int64)
+        begin, order = np.cumsum(size) - size, np.argsort(line["piece"], kind="stable")
+        # Equal strings are of one piece: whole pieces at a time find the same.
+        first = np.concatenate(([True], np.diff(line["piece"][order]) != 0))[: len(order)]
+        before = np.cumsum(size[order]) - size[order]
+        part = before[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))] // ARRAY_BYTES
+        hits = [(np.zeros(0, np.int64),) * 2]
+        for own in np.split(order, np.flatnonzero(np.diff(part)) + 1) if len(order) else []:
+            at = np.cumsum(size[own]) - size[own]
+            index = np.arange(int(size[own].sum())) + np.repeat(begin[own] - at, size[own])
+            k, o = repeats(raw[index], size[own], line["by"][own])
+            hits.append((own[k], o))
+        segment, offset = (np.concatenate(h) for h in zip(*hits))
         found = {"by": line["by"][segment], "text": line["text"][segment], "start": line["start"][segment] + offset, "count": np.ones(len(segment), np.int64)}
         done = _merged(found)
+        done = {k: np.concatenate((done[k], settled[k])) for k in done}
         return pa.Table.from_batches([_grouped(done, _REMOVED)] if len(done["by"]) else [], _FOUND)
 
     return parcels.groupBy("shard").applyInArrow(run, _FOUND_SQL)
@@ -467,13 +563,15 @@ def _spans(contents: list[bytes] | None) -> list[tuple[int, int]]:
     return list(zip(start[first].tolist(), reach[np.append(first[1:], len(start)) - 1].tolist()))
 
 
-def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent_hot: int = SENT_HOT, met_hot: int = MET_HOT) -> DataFrame:
     """doc_id, text and contents (packed runs to remove, null if none) of each row; see digest() and spans()."""
     plain = docs.select(F.coalesce(F.col(id_col), F.lit(_LAST)).alias("by"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).alias("doc_id"))
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    found = stored(_meet(_send(plain.select("by", "text_hash", "text"), shards)), "segments")
-    sure = stored(_sort(_cut_out(plain.select("by", "text_hash", "text"), found.filter(f"kind = {_UNSURE}"), shards)), "repeats")
+    found = stored(_meet(_send(plain.select("by", "text_hash", "text"), shards, sent_hot), met_hot), "segments")
+    asked = found.filter(f"kind = {_UNSURE}")
+    ways = max(shards, -(-(asked.agg(F.sum("n_bytes")).first()[0] or 0) // SORT_BYTES))
+    sure = stored(_sort(_cut_out(plain.select("by", "text_hash", "text"), asked, ways)), "repeats")
     both = found.filter(f"kind = {_REMOVED}").select("by", "text", "content").union(sure.select("by", "text", "content"))
     per = both.groupBy("by", "text").agg(F.collect_list("content").alias("contents")).select(F.col("by").alias("_by"), F.col("text").alias("_text"), "contents")
     return plain.join(per, (F.col("by") == F.col("_by")) & (F.col("text_hash") == F.col("_text")), "left").select("doc_id", "text", "contents")

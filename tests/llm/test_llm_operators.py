@@ -125,6 +125,15 @@ def test_lines_equal_brute_force(spark, seed):
     assert got == plain_lines(docs)
 
 
+def test_short_lines_equal_brute_force(spark):
+    r = random.Random(3)
+    docs = {d: "\n".join("".join(r.choice("ab é1") for _ in range(r.randrange(1, 9))) for _ in range(6)) for d in range(40)}
+    docs |= {50: "Copyright Foo 2019\nnineteen characters\n", 51: "Copyright Foo 2018\nnineteen characters!\nx"}
+    got = sorted(map(tuple, line_dedup.kept_lines(table(spark, docs.items())).collect()))
+    assert got == plain_lines(docs, least=0)
+    assert [(r[2], r[6]) for r in got if r[0] == 51][:2] == [(50, False), (50, False)]
+
+
 def test_lines_of_odd_rows(odd, empty):
     rows = line_dedup.kept_lines(odd).collect()
     assert sum(r.kept for r in rows if r.doc_id == 4) == 1 and sum(r.doc_id == 4 for r in rows) == 2

@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import stored, to_batch
 
-#: Characters from which lines are compared with others than equal ones.
-LEAST_CHARS = 20
+#: Characters from which lines are compared with others than equal ones: all are.
+LEAST_CHARS = 1
 _LAST = 2**63 - 1
 _U = np.uint64
 #: Which half-line key a partner was found by: own length and one less, first and second half.
@@ -154,7 +154,8 @@ def kept_lines(docs: DataFrame, least: int = LEAST_CHARS, id_col: str = "doc_id"
 
     Lines are compared with runs of white space as one blank. keep_doc and keep_line name the earliest line (by doc_id, then
     place) that is equal or within one edited character; a line is kept if that is itself. copies counts equal lines, n_links the
-    different lines within the bound. Lines of fewer than `least` characters go by equality alone. A null or empty text has no
+    different lines within the bound. Lines of all lengths are compared; a caller may
+    ask that those of fewer than `least` characters go by equality alone. A null or empty text has no
     lines; a null id counts as the largest; rows that repeat come one after another; an empty table gives no rows; no other
     column is read. A line that a third of all rows have is counted inside tasks before it is dealt out."""
     text = F.coalesce(F.col(text_col), F.lit(""))

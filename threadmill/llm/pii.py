@@ -39,7 +39,10 @@ _DOTTED = re.compile(r"[0-9][0-9.]*")
 _IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}")
+_IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+#: Characters of an IBAN by country; that end is tried first, then all others.
+_IBAN_CHARS = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HU": 28, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24, "SK": 24}
 _ID = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|ghp_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,64})(?![A-Za-z0-9])")
 _PHONE_NEAR = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z-])")
@@ -114,12 +117,31 @@ def _base(text: str) -> Iterator[tuple[str, int, int, float]]:
             yield "phone", s, e, 0.7
 
 
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    """From each head the end, where a word ends, at which the checksum is right: the country's, else the farthest."""
+    last = 0
+    for head in _IBAN_HEAD.finditer(text):
+        if head.start() < last or not (m := _IBAN.match(text, head.start())):
+            continue
+        ends, n = [], 0
+        for k, c in enumerate(m[0], m.start() + 1):
+            n += c != " "
+            if c != " " and n >= 15 and not (text[k : k + 1].isascii() and text[k : k + 1].isalnum()):
+                ends.append((n != _IBAN_CHARS.get(head[0][:2]), -k))
+        for _, k in sorted(ends):
+            if mod97(text[m.start() : -k].replace(" ", "")):
+                last = -k
+                yield m.start(), last
+                break
+
+
 def _further(text: str) -> Iterator[tuple[str, int, int, float]]:
+    for m in _SECRET.finditer(text):
+        yield "secret", *m.span(), 0.7
     if not any(d in text for d in "0123456789"):
         return
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            yield "iban", *m.span(), 0.8
+    for s, e in _ibans(text):
+        yield "iban", s, e, 0.8
     for s, e, d in _digit_runs(text, 12, 13):
         if luhn(d):
             yield "card_near", s, e, 0.3
@@ -129,8 +151,6 @@ def _further(text: str) -> Iterator[tuple[str, int, int, float]]:
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
             yield "national_id", *m.span(), 0.5
-    for m in _SECRET.finditer(text):
-        yield "secret", *m.span(), 0.7
 
 
 def _context(kind: str, text: str, start: int, end: int) -> float:

@@ -126,11 +126,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = END_ID, capacity: int =
 
         encoder, packer = WordEncoder.of(tokenizer, "byte"), SumOfSquaresPacker(capacity)
         first = TaskContext.get().partitionId() << 36
-        end = np.array([end_id], dtype="<u4").tobytes()
 
         def placed(ids: list, texts: list[str]) -> Iterator[list[Piece]]:
-            for i, b in zip(ids, encoder.encode(texts)):
-                b += end
+            for i, b in zip(ids, encoder.encode(texts, end_id)):
                 yield from packer.place(Piece(i, 0, memoryview(b), len(b) // 4))
 
         for ids, texts in slices(batches):

@@ -38,9 +38,9 @@ class WaveletMatrix:
         for level in reversed(range(width)):
             bit = (a >> level) & 1 == 1
             planes.append(np.packbits(bit))
-            low = a[~bit]
+            low = a.take(np.flatnonzero(~bit))
             zeros.append(len(low))
-            a = np.concatenate((low, a[bit]))
+            a = np.concatenate((low, a.take(np.flatnonzero(bit))))
         return cls(len(symbols), planes, zeros)
 
     def _bits(self, level: int) -> np.ndarray:
@@ -48,11 +48,11 @@ class WaveletMatrix:
 
     def symbols(self) -> np.ndarray:
         """The whole sequence: the planes' sorts undone from the last to the first."""
-        a = np.zeros(self.n, dtype=np.uint32)
+        a = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for k in reversed(range(len(self.planes))):
             bit, before = self._bits(k), np.empty_like(a)
-            before[~bit] = a[: self.zeros[k]]
-            before[bit] = a[self.zeros[k] :] | np.uint32(1 << (len(self.planes) - 1 - k))
+            before[np.flatnonzero(~bit)] = a[: self.zeros[k]]
+            before[np.flatnonzero(bit)] = a[self.zeros[k] :] | a.dtype.type(1 << (len(self.planes) - 1 - k))
             a = before
         return a
 
@@ -119,10 +119,10 @@ def dump(ids: np.ndarray, doc_ids: list, lengths: list[int]) -> bytes:
     seen = np.zeros(int(ids.max()) + 1 if len(ids) else 0, dtype=bool)
     seen[ids] = True
     alphabet = np.flatnonzero(seen).astype(np.uint32)
-    names = np.zeros(len(seen), dtype=np.uint32)
-    names[alphabet] = np.arange(len(alphabet), dtype=np.uint32)
     width = max(1, (len(alphabet) - 1).bit_length()) if len(alphabet) else 1
-    m = WaveletMatrix.build(names[ids].astype(np.uint16 if width <= 16 else np.uint32), width)
+    names = np.zeros(len(seen), dtype=np.uint16 if width <= 16 else np.uint32)
+    names[alphabet] = np.arange(len(alphabet), dtype=names.dtype)
+    m = WaveletMatrix.build(names.take(ids), width)
     head = [alphabet.astype("<u4").tobytes(), np.array([d or 0 for d in doc_ids], "<i8").tobytes(), np.array([d is not None for d in doc_ids], "u1").tobytes(), np.array(lengths, "<u8").tobytes()]
     parts = [squeeze(x) for x in head] + [squeeze(np.uint64(z).tobytes() + s.astype("<u4").tobytes() + p.tobytes()) for z, s, p in zip(m.zeros, m.samples(), m.planes)]
     return b"".join([MAGIC, struct.pack("<QQQI", len(ids), len(doc_ids), len(alphabet), width), struct.pack(f"<{len(parts)}Q", *map(len, parts)), *parts])
@@ -153,7 +153,7 @@ class Shard:
         self.matrix._samples = [np.frombuffer(p, "<u4", offset=8, count=n_samples).astype(np.int64) for p in parts[4:]]
 
     def ids(self) -> np.ndarray:
-        return self.alphabet[self.matrix.symbols()]
+        return self.alphabet.take(self.matrix.symbols())
 
     def access(self, i: int) -> int:
         return int(self.alphabet[self.matrix.access(i)])
@@ -188,19 +188,23 @@ def write_shards(docs: DataFrame, tokenizer: str, end_id: int = END_ID, shard_to
         from pyspark import TaskContext
 
         encoder, part = WordEncoder.of(tokenizer, "word"), TaskContext.get().partitionId()
-        end = np.array([end_id], dtype="<u4").tobytes()
         held, doc_ids, lengths, n, start, shard = [], [], [], 0, 0, 0
 
         def file() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(held), "<u4")
+            ids = np.concatenate(held)
             return to_batch(_FILE, [[part], [shard], [start], [len(ids)], [dump(ids, doc_ids, lengths)]])
 
         for ids, texts in slices(batches):
-            for i, b in zip(ids, encoder.encode(texts)):
-                held += b, end
-                doc_ids.append(i)
-                lengths.append(len(b) // 4 + 1)
-                n += lengths[-1]
+            tokens, counts = encoder.encode_all(texts, end_id)
+            stops, done = np.cumsum(counts), 0
+            while done < len(ids):
+                # Up to the document with which the shard at hand is full.
+                at = int(stops[done] - counts[done])
+                stop = min(len(ids), int(np.searchsorted(stops, at + shard_tokens - n)) + 1)
+                held.append(tokens[at : stops[stop - 1]])
+                doc_ids += ids[done:stop]
+                lengths += counts[done:stop].tolist()
+                n, done = n + int(stops[stop - 1]) - at, stop
                 if n >= shard_tokens:
                     yield file()
                     held, doc_ids, lengths, n, start, shard = [], [], [], 0, start + n, shard + 1

@@ -2,11 +2,13 @@
 
 Every 50-byte string of a document belongs to the 20-byte piece in it that hashes least; strings next to each other that
 belong to the same piece make a segment (80 bytes at most). Equal strings belong to equal pieces, so dealing segments by their
-piece brings all copies of any 50-byte string to one shard, and pieces that just one document has are done with. Equal segments
-are interned; the others of a shard are joined into one text whose suffix array puts equal strings side by side, and the
-adjacent common prefixes tell which are. What is repeated goes by the smallest doc_id that has it.
+piece brings all copies of any 50-byte string to one shard, and pieces that just one document has are done with. The segments of
+the others are cut from their documents and meet by their bytes: copies of a segment are compared byte by byte and count once;
+different ones are joined into one text whose suffix array puts equal strings side by side, and the adjacent common prefixes tell
+which are. What is repeated goes by the smallest doc_id that has it. Hashes only deal segments out: no string is taken for
+another without its bytes being compared.
 
-A piece that has many different segments (the ends of a common passage, with other text around it each time) is hot: its strings
+A piece that has very many segments (the ends of a common passage, with other text around it each time) is hot: its strings
 are dealt by their own 50 bytes instead, each alone, and those that are equal meet inside tasks before.
 """
 
@@ -29,20 +31,22 @@ SHARD_BYTES = 12_000_000
 SEND_BYTES = 12_000_000
 #: Text that is hashed together, in bytes.
 HASHED_BYTES = 1_500_000
-#: Different segments of a piece, in one parcel or after they have met, from which it is hot.
+#: Segments of a piece, in one parcel (different ones) or after they have met, from which it is hot.
 SENT_HOT, MET_HOT = 500, 20_000
 #: Text to sort in one shard, in bytes; the number of these shards follows what there is to sort.
 SORT_BYTES = 12_000_000
 #: Text of whole pieces in one suffix array, in bytes: it takes some hundred bytes for each of the text.
 ARRAY_BYTES = 2_000_000
-#: Strings that a task cuts out and deals on together.
-CUT_STRINGS = 150_000
+#: Strings that a task cuts out and deals on together, and segments whose bytes are compared at once.
+CUT_STRINGS, _COMPARED = 150_000, 20_000
+#: Bytes of the longest segment: as many strings as there are places of a piece in one string.
+_WIDEST = LENGTH - PIECE + LENGTH
 _LAST = 2**63 - 1
 _U = np.uint64
 #: A byte that UTF-8 never has stands between segments.
 _GAP = 255
-_MASK = _U(2**48 - 1)
-
+#: Bits of a hash of contents that count; tests take fewer, so that hashes clash.
+_MASK = 2**64 - 1
 
 # The suffix array.
 
@@ -114,18 +118,18 @@ def suffix_array(text: np.ndarray, depth: int | None = None) -> np.ndarray:
     for c in np.flatnonzero(size):
         wave = out[start[c] : front[c]]
         while len(wave):  # those that a run of c puts into this very bucket
-            before = wave[wave > 0] - 1
-            before = before[(text[before] == c) & ~rising[before]]
+            before = wave.take(np.flatnonzero(wave > 0)) - 1
+            before = before.take(np.flatnonzero((text.take(before) == c) & ~rising.take(before)))
             out[front[c] : front[c] + len(before)] = before
             front[c] += len(before)
             wave = before
         before = out[start[c] : start[c] + size[c]]
-        before = before[before > 0] - 1
-        first = text[before]
-        good = (first > c) & ~rising[before]
-        before, first = before[good], first[good]
+        before = before.take(np.flatnonzero(before > 0)) - 1
+        first = text.take(before)
+        good = np.flatnonzero((first > c) & ~rising.take(before))
+        before, first = before.take(good), first.take(good)
         by = np.argsort(first, kind="stable")
-        before, counts = before[by], np.bincount(first, minlength=256)
+        before, counts = before.take(by), np.bincount(first, minlength=256)
         ends = np.cumsum(counts)
         for d in np.flatnonzero(counts):
             out[front[d] : front[d] + counts[d]] = before[ends[d] - counts[d] : ends[d]]
@@ -229,7 +233,7 @@ def _joined(blobs: Iterable[bytes], kinds: dict[str, str]) -> dict[str, np.ndarr
 
 
 #: by: doc_id with the largest number for null; text: the text's hash, which tells rows of one doc_id apart.
-_SEG = {"piece": "<u8", "contents": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "count": "u1", "hot": "u1"}
+_SEG = {"piece": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "count": "u1", "hot": "u1"}
 _SPANS = {"start": "<u4", "count": "<u4"}
 _FOUND = pa.schema([("by", pa.int64()), ("text", pa.int64()), ("kind", pa.int32()), ("content", pa.binary()), ("n_bytes", pa.int64())])
 _FOUND_SQL = "by long, text long, kind int, content binary, n_bytes long"
@@ -244,7 +248,7 @@ def _grouped(columns: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
     fresh = np.concatenate(([True], (c["by"][1:] != c["by"][:-1]) | (c["text"][1:] != c["text"][:-1]))) if n else np.zeros(0, bool)
     first = np.flatnonzero(fresh)
     stops = np.append(first[1:], n)
-    rest = [k for k in c if k not in ("by", "text")]
+    rest = list(_ASKED if kind == _UNSURE else _SPANS)
     content = [b"".join(c[k][a:b].tobytes() for k in rest) for a, b in zip(first.tolist(), stops.tolist())]
     count = c["count"].astype(np.int64)
     n_bytes = np.where(c["hot"] == 1, count * LENGTH, count + LENGTH - 1) if kind == _UNSURE else np.zeros(n, np.int64)
@@ -259,16 +263,46 @@ def _ungrouped(content: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
     return out
 
 
-def _interned(s: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Segments in order of piece, contents and document; where each group of equal segments starts; which are of a later
-    document than the group's first."""
-    order = np.lexsort((s["start"], s["text"], s["by"], s["contents"], s["piece"]))
-    s = {k: v[order] for k, v in s.items()}
-    if not len(order):
-        return s, np.zeros(0, bool), np.zeros(0, bool)
-    fresh = np.concatenate(([True], (s["piece"][1:] != s["piece"][:-1]) | (s["contents"][1:] != s["contents"][:-1])))
-    least = s["by"][np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
-    return s, fresh, s["by"] > least
+def _padded(parts: Iterable[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join([*parts, bytes(_WIDEST)]), np.uint8)
+
+
+def _rows_of(raw: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Stretches of a padded text as rows of one table, zeros past their ends."""
+    rows = np.lib.stride_tricks.sliding_window_view(raw, _WIDEST)[at]
+    rows *= np.arange(_WIDEST) < size[:, None]
+    return rows
+
+
+def _differ(raw: np.ndarray, one: np.ndarray, two: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which of the stretches at one and at two have different bytes; compared a bounded number at a time."""
+    out = np.zeros(len(one), bool)
+    for k in range(0, len(one), _COMPARED):
+        part = slice(k, k + _COMPARED)
+        out[part] = (_rows_of(raw, one[part], size[part]) != _rows_of(raw, two[part], size[part])).any(axis=1)
+    return out
+
+
+def _copies_of_earlier(s: dict[str, np.ndarray], raw: np.ndarray) -> np.ndarray:
+    """Which segments have the bytes of one of an earlier document among them, as far as their hashes bring them together.
+
+    s has their place in raw. Of one hash each is compared with the first; what differs from it stands for itself."""
+    later = np.zeros(len(s["by"]), bool)
+    key = (s["piece"] ^ s["piece"] >> _U(32)) * _U(0xBF58476D1CE4E5B9) + s["contents"]
+    order = np.argsort(key)
+    same = key.take(order[1:]) == key.take(order[:-1])
+    some = order.take(np.flatnonzero(np.concatenate((same, [False])) | np.concatenate(([False], same))))
+    if not len(some):
+        return later
+    some = some.take(np.lexsort((s["start"].take(some), s["text"].take(some), s["by"].take(some), key.take(some))))
+    fresh = np.concatenate(([True], key.take(some[1:]) != key.take(some[:-1])))
+    first = some.take(np.maximum.accumulate(np.where(fresh, np.arange(len(some)), 0)))
+    at = np.flatnonzero(s["by"].take(some) > s["by"].take(first))
+    some, first = some.take(at), first.take(at)
+    size = s["count"].take(some).astype(np.int64) + LENGTH - 1
+    equal = (s["count"].take(first) == s["count"].take(some)) & ~_differ(raw, s["place"].take(some), s["place"].take(first), size)
+    later[some.take(np.flatnonzero(equal))] = True
+    return later
 
 
 def _per_piece(piece: np.ndarray) -> np.ndarray:
@@ -276,7 +310,7 @@ def _per_piece(piece: np.ndarray) -> np.ndarray:
     return np.cumsum(np.concatenate(([0], piece[1:] != piece[:-1]))) if len(piece) else np.zeros(0, np.int64)
 
 
-def _send(docs: DataFrame, shards: int, hot: int) -> DataFrame:
+def _send(docs: DataFrame, shards: int, hot: int, mask: int = _MASK) -> DataFrame:
     """shard, content: the segments of each task's documents, equal ones once. What that settles goes to any shard.
 
     So do the segments of pieces that are hot already (asked): just one of each such piece goes to the piece's own shard, marked."""
@@ -285,25 +319,29 @@ def _send(docs: DataFrame, shards: int, hot: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
 
-        def parcel(bys: list, hashes: list, parts: list[tuple]) -> pa.RecordBatch:
+        def parcel(bys: list, hashes: list, parts: list[tuple], raws: list[bytes]) -> pa.RecordBatch | None:
             nonlocal turn
             doc, start, count, piece, contents = (np.concatenate(x) for x in zip(*parts))
             by, text = np.array(bys, np.int64), np.array(hashes, np.int64)
-            s = {"piece": piece, "contents": contents & _MASK, "by": by[doc], "text": text[doc], "start": start.astype("<u4"), "count": count.astype("u1"), "hot": np.zeros(len(doc), "u1")}
-            s, _, later = _interned(s)
+            begin = np.cumsum([len(r) for r in raws]) - [len(r) for r in raws]
+            s = {"piece": piece, "contents": contents & _U(mask), "by": by[doc], "text": text[doc], "start": start.astype("<u4"), "count": count.astype("u1"), "place": begin[doc] + start}
+            later = _copies_of_earlier(s, _padded(raws))
             # Later copies of a segment in the same parcel are repeats already.
-            done = _merged({k: s[k][later] for k in ("by", "text", "start", "count")})
-            left = {k: v[~later] for k, v in s.items()}
+            at, left = np.flatnonzero(later), np.flatnonzero(~later)
+            done = _merged({k: s[k].take(at) for k in ("by", "text", "start", "count")})
+            left = left.take(np.argsort(piece.take(left), kind="stable"))
+            left = {k: s[k].take(left) for k in ("piece", "by", "text", "start", "count")}
             group = _per_piece(left["piece"])
-            left["hot"] = (np.bincount(group)[group] > hot).astype("u1") if len(group) else left["hot"]
+            left["hot"] = (np.bincount(group)[group] > hot).astype("u1") if len(group) else np.zeros(0, "u1")
             spared = (left["hot"] == 1) & np.concatenate(([False], group[1:] == group[:-1]))[: len(group)]
-            ask = {k: left[k][spared] for k in _ASKED_SEG}
-            if len(ask["by"]):
-                left = {k: v[~spared] for k, v in left.items()}
-            del s, group, spared
+            asked = np.flatnonzero(spared)
+            ask = _to_ask({k: v.take(asked) for k, v in left.items()})
+            if len(asked):
+                rest = np.flatnonzero(~spared)
+                left = {k: v.take(rest) for k, v in left.items()}
+            del s, group, spared, later
             shard = (left["piece"] >> _U(32)) * _U(shards) >> _U(32)
-            cuts = np.searchsorted(shard, np.arange(shards + 1, dtype=_U))
-            rows = [(k, _packed({c: v[a:b] for c, v in left.items()}), None, None) for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
+            rows = [(k, _packed({c: v[a:b] for c, v in left.items()}), None, None) for k, a, b in _stretches(shard)]
             if len(done["by"]) or len(ask["by"]):
                 turn += 1
                 rows.append(((turn * 7919 + int(by[0])) % shards, None, _packed(done), _packed(ask)))
@@ -324,18 +362,19 @@ def _send(docs: DataFrame, shards: int, hot: int) -> DataFrame:
             if rows[0]:
                 yield rows
 
-        bys, hashes, parts, size = [], [], [], 0
+        bys, hashes, parts, raws, size = [], [], [], [], 0
         for own_by, own_hash, raw in some(batches):
             doc, *rest = segments(raw)
             parts.append((doc + len(bys), *rest))
             bys += own_by
             hashes += own_hash
+            raws += raw
             size += sum(map(len, raw))
             if size >= SEND_BYTES:
-                if (out := parcel(bys, hashes, parts)) is not None:
+                if (out := parcel(bys, hashes, parts, raws)) is not None:
                     yield out
-                bys, hashes, parts, size = [], [], [], 0
-        if parts and (out := parcel(bys, hashes, parts)) is not None:
+                bys, hashes, parts, raws, size = [], [], [], [], 0
+        if parts and (out := parcel(bys, hashes, parts, raws)) is not None:
             yield out
 
     return docs.mapInArrow(run, "shard long, content binary, settled binary, asked binary")
@@ -360,12 +399,24 @@ def _merged(s: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return {"by": by[first], "text": text[first], "start": start[first].astype("<u4"), "count": (end - start[first]).astype("<u4")}
 
 
-_ASKED = {"start": "<u4", "count": "u1", "piece": "<u8", "hot": "u1"}
+#: Of a piece's hash the upper half goes on: it deals segments out, no more.
+_ASKED = {"start": "<u4", "count": "u1", "piece": "<u4", "hot": "u1"}
 _ASKED_SEG = {"by": "<i8", "text": "<i8", **_ASKED}
 
 
+def _to_ask(s: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    return {k: (s[k] >> _U(32)).astype("<u4") if k == "piece" else s[k] for k in _ASKED_SEG}
+
+
+def _stretches(keys: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """key, start and end of each run of equal keys."""
+    if len(keys):
+        first = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+        yield from zip(keys[first].tolist(), first.tolist(), [*first[1:].tolist(), len(keys)])
+
+
 def _meet(sent: DataFrame, most: int) -> DataFrame:
-    """Per shard: segments whose piece several documents have; later copies are settled, first ones are left to sort.
+    """Per shard: what tasks have settled, and the segments whose piece several documents have, which are left to compare.
 
     A piece is hot if a parcel has marked it or more than `most` segments of it are left."""
 
@@ -373,23 +424,19 @@ def _meet(sent: DataFrame, most: int) -> DataFrame:
         out = []
         settled = _joined([c.as_py() for c in table.column("settled") if c.is_valid], _DONE)
         asked = [_joined([c.as_py() for c in table.column("asked") if c.is_valid], _ASKED_SEG)]
-        s, fresh, later = _interned(_joined([c.as_py() for c in table.column("content") if c.is_valid], _SEG))
-        if len(fresh):
-            done = _merged({k: s[k][later] for k in ("by", "text", "start", "count")})
-            settled = {k: np.concatenate((settled[k], done[k])) for k in settled}
-            left = {k: v[~later] for k, v in s.items()}
-            # A first copy of each segment is left, so pieces keep their numbers.
+        s = _joined([c.as_py() for c in table.column("content") if c.is_valid], _SEG)
+        if len(s["by"]):
+            order = np.argsort(s["piece"], kind="stable")
+            s = {k: v.take(order) for k, v in s.items()}
             group = _per_piece(s["piece"])
-            marked = np.bincount(group, s["hot"]) > 0
-            group = group[~later]
-            low, high = np.full(int(group[-1]) + 1, _LAST), np.full(int(group[-1]) + 1, -_LAST - 1)
-            np.minimum.at(low, group, left["by"])
-            np.maximum.at(high, group, left["by"])
-            marked |= (low < high) & (np.bincount(group) > most)
-            left["hot"] = marked[group].astype("u1")
-            shared = ((low < high) | marked)[group]
-            asked.append({k: left[k][shared] for k in _ASKED_SEG})
-            del s, left, group, shared, later
+            first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+            several = np.minimum.reduceat(s["by"], first) < np.maximum.reduceat(s["by"], first)
+            marked = np.maximum.reduceat(s["hot"], first) > 0
+            marked |= several & (np.diff(np.append(first, len(group))) > most)
+            s["hot"] = marked.take(group).astype("u1")
+            shared = np.flatnonzero((several | marked).take(group))
+            asked.append(_to_ask({k: v.take(shared) for k, v in s.items()}))
+            del s, group, shared, order
         ask = {k: np.concatenate([x.pop(k) for x in asked]) for k in _ASKED_SEG}
         if len(ask["by"]):
             out.append(_grouped(ask, _UNSURE))
@@ -400,7 +447,7 @@ def _meet(sent: DataFrame, most: int) -> DataFrame:
     return sent.groupBy("shard").applyInArrow(run, _FOUND_SQL)
 
 
-_LINE = {"piece": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "size": "u1"}
+_LINE = {"piece": "<u4", "by": "<i8", "text": "<i8", "start": "<u4", "size": "u1"}
 
 
 def _strings(raws: list[bytes], size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -458,18 +505,17 @@ def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
                 settled = _merged({**{k: v[later] for k, v in found.items()}, "count": np.ones(int(later.sum()), np.int64)})
                 cold, kept = ~hot, ~later
                 chunks = [c for c, h in zip(chunks, hot.tolist()) if not h] + [x.tobytes() for x in strings[kept]]
-                piece = np.concatenate((piece[cold], key[kept]))
+                piece = np.concatenate((piece[cold], (key[kept] >> _U(32)).astype("<u4")))
                 by, text, start = (np.concatenate((x[cold], found[k][kept])) for k, x in (("by", by), ("text", text), ("start", start)))
-            shard = (piece >> _U(32)) * _U(shards) >> _U(32)
+            shard = piece.astype(_U) * _U(shards) >> _U(32)
             order = np.argsort(shard, kind="stable")
             length = np.array([len(c) for c in chunks], "u1")
-            cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=_U))
+            squeeze = zstandard.ZstdCompressor(level=1).compress
             rows = []
-            for k, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-                if b > a:
-                    own = order[a:b]
-                    lines = {"piece": piece[own], "by": by[own], "text": text[own], "start": start[own].astype("<u4"), "size": length[own]}
-                    rows.append((k, _packed(lines), zstandard.ZstdCompressor(level=1).compress(b"".join([chunks[i] for i in own.tolist()])), None))
+            for k, a, b in _stretches(shard.take(order)):
+                own = order[a:b]
+                lines = {"piece": piece.take(own), "by": by.take(own), "text": text.take(own), "start": start.take(own).astype("<u4"), "size": length.take(own)}
+                rows.append((k, _packed(lines), squeeze(b"".join([chunks[i] for i in own.tolist()])), None))
             if settled is not None and len(settled["by"]):
                 rows.append((int(settled["start"][0]) % shards, None, None, _packed(settled)))
             return to_batch(schema, list(zip(*rows)))
@@ -507,7 +553,7 @@ def repeats(raw: np.ndarray, size: np.ndarray, by: np.ndarray) -> tuple[np.ndarr
     valid = offset <= size[owner] - LENGTH
     depth = -(-LENGTH // 8) * 8
     order = suffix_array(gapped, depth)
-    order = order[valid[order]]
+    order = order.take(np.flatnonzero(valid.take(order)))
     same = common_prefixes(gapped, order, LENGTH) >= LENGTH
     group = np.cumsum(~same) - 1 if len(order) else np.zeros(0, np.int64)
     docs = by[owner[order]]
@@ -517,31 +563,49 @@ def repeats(raw: np.ndarray, size: np.ndarray, by: np.ndarray) -> tuple[np.ndarr
     return owner[hit], offset[hit]
 
 
+def _copies(raw: np.ndarray, at: np.ndarray, size: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Which segments have all the bytes of one of an earlier document; the bytes are compared."""
+    rows = _rows_of(raw, at, size)
+    key = np.zeros(len(at), _U)
+    for w in rows.view("<u8").T:
+        key = (key ^ w) * _U(0x9E3779B97F4A7C15)
+        key ^= key >> _U(29)
+    order = np.lexsort((by, size, key))
+    sorted_rows = rows[order]
+    same = (sorted_rows[1:] == sorted_rows[:-1]).all(axis=1) & (np.diff(size.take(order)) == 0)
+    fresh = np.concatenate(([True], ~same))[: len(order)]
+    least = by.take(order).take(np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0)))
+    later = np.zeros(len(order), bool)
+    later[order] = by.take(order) > least
+    return later
+
+
 def _sort(parcels: DataFrame) -> DataFrame:
-    """Per shard the suffix array of its segments, and from it what a smaller document has as well."""
+    """Per shard the suffix array of its different segments, and from it what a smaller document has as well."""
 
     def run(table: pa.Table) -> pa.Table:
         import zstandard
 
         line = _joined([c.as_py() for c in table.column("lines") if c.is_valid], _LINE)
-        raw = np.frombuffer(b"".join([zstandard.decompress(c.as_py()) for c in table.column("bytes") if c.is_valid]), np.uint8)
-        settled = _joined([c.as_py() for c in table.column("settled") if c.is_valid], _DONE)
+        raw = _padded(zstandard.decompress(c.as_py()) for c in table.column("bytes") if c.is_valid)
+        settled = [_joined([c.as_py() for c in table.column("settled") if c.is_valid], _DONE)]
         size = line["size"].astype(np.int64)
         begin, order = np.cumsum(size) - size, np.argsort(line["piece"], kind="stable")
         # Equal strings are of one piece: whole pieces at a time find the same.
-        first = np.concatenate(([True], np.diff(line["piece"][order]) != 0))[: len(order)]
-        before = np.cumsum(size[order]) - size[order]
-        part = before[np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))] // ARRAY_BYTES
-        hits = [(np.zeros(0, np.int64),) * 2]
+        first = np.concatenate(([True], np.diff(line["piece"].take(order)) != 0))[: len(order)]
+        before = np.cumsum(size.take(order)) - size.take(order)
+        part = before.take(np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))) // ARRAY_BYTES
         for own in np.split(order, np.flatnonzero(np.diff(part)) + 1) if len(order) else []:
-            at = np.cumsum(size[own]) - size[own]
-            index = np.arange(int(size[own].sum())) + np.repeat(begin[own] - at, size[own])
-            k, o = repeats(raw[index], size[own], line["by"][own])
-            hits.append((own[k], o))
-        segment, offset = (np.concatenate(h) for h in zip(*hits))
-        found = {"by": line["by"][segment], "text": line["text"][segment], "start": line["start"][segment] + offset, "count": np.ones(len(segment), np.int64)}
-        done = _merged(found)
-        done = {k: np.concatenate((done[k], settled[k])) for k in done}
+            copy = _copies(raw, begin.take(own), size.take(own), line["by"].take(own))
+            again, own = own[copy], own[~copy]
+            settled.append(_merged({"by": line["by"].take(again), "text": line["text"].take(again), "start": line["start"].take(again), "count": size.take(again) - LENGTH + 1}))
+            n = size.take(own)
+            at = np.cumsum(n) - n
+            index = np.arange(int(n.sum())) + np.repeat(begin.take(own) - at, n)
+            k, offset = repeats(raw.take(index), n, line["by"].take(own))
+            k = own.take(k)
+            settled.append(_merged({"by": line["by"].take(k), "text": line["text"].take(k), "start": line["start"].take(k) + offset, "count": np.ones(len(k), np.int64)}))
+        done = {c: np.concatenate([x[c] for x in settled]) for c in _DONE}
         return pa.Table.from_batches([_grouped(done, _REMOVED)] if len(done["by"]) else [], _FOUND)
 
     return parcels.groupBy("shard").applyInArrow(run, _FOUND_SQL)
@@ -563,12 +627,12 @@ def _spans(contents: list[bytes] | None) -> list[tuple[int, int]]:
     return list(zip(start[first].tolist(), reach[np.append(first[1:], len(start)) - 1].tolist()))
 
 
-def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent_hot: int = SENT_HOT, met_hot: int = MET_HOT) -> DataFrame:
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sent_hot: int = SENT_HOT, met_hot: int = MET_HOT, mask: int = _MASK) -> DataFrame:
     """doc_id, text and contents (packed runs to remove, null if none) of each row; see digest() and spans()."""
     plain = docs.select(F.coalesce(F.col(id_col), F.lit(_LAST)).alias("by"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(id_col).alias("doc_id"))
     total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    found = stored(_meet(_send(plain.select("by", "text_hash", "text"), shards, sent_hot), met_hot), "segments")
+    found = stored(_meet(_send(plain.select("by", "text_hash", "text"), shards, sent_hot, mask), met_hot), "segments")
     asked = found.filter(f"kind = {_UNSURE}")
     ways = max(shards, -(-(asked.agg(F.sum("n_bytes")).first()[0] or 0) // SORT_BYTES))
     sure = stored(_sort(_cut_out(plain.select("by", "text_hash", "text"), asked, ways)), "repeats")

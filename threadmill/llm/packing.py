@@ -15,7 +15,7 @@ from .common import WordEncoder, slices, text_of, to_batch
 
 CAPACITY = 1024
 END_ID = 0
-#: Open windows that one packer holds at most; beyond it their pieces are laid end to end.
+#: Open windows that one packer holds at most; beyond it the fullest one is topped up with what the emptiest one holds.
 OPEN_WINDOWS = 2048
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -41,13 +41,15 @@ class SumOfSquaresPacker:
 
     levels[h] counts the open windows that hold h tokens. A piece of s tokens goes to the level h (0: a new window) at which
     the sum of squares of levels ends up least; of equal levels to the fullest. Full windows leave. Memory is bounded by
-    OPEN_WINDOWS windows of CAPACITY tokens: beyond it, and at the end, the pieces of all open windows are cut where windows
-    fill up, and what is left makes windows whose size is a power of two."""
+    OPEN_WINDOWS windows of CAPACITY tokens: one more, and the fullest window takes tokens from the emptiest, as many as it
+    lacks, and leaves; all others stay as they are, at their levels. At the end this goes on until one window is left, which is
+    cut into windows whose sizes are powers of two."""
 
     def __init__(self, capacity: int = CAPACITY, open_windows: int = OPEN_WINDOWS):
         self.capacity, self.open_windows = capacity, open_windows
         self.levels = np.zeros(capacity + 1, dtype=np.int64)
         self.windows: dict[int, list[list[Piece]]] = defaultdict(list)
+        self.n_open = 0
 
     def level(self, size: int) -> int:
         """The fill level where a piece of that size goes."""
@@ -68,8 +70,7 @@ class SumOfSquaresPacker:
             yield [piece]
             return
         h = self.level(piece.length)
-        window = [] if h == 0 else self.windows[h].pop()
-        self.levels[h] -= h > 0
+        window = self._take(h) if h else []
         window.append(piece)
         fill = h + piece.length
         if fill == self.capacity:
@@ -77,28 +78,56 @@ class SumOfSquaresPacker:
             return
         self.levels[fill] += 1
         self.windows[fill].append(window)
-        if self.levels.sum() > self.open_windows:
-            yield from self.flush()
+        self.n_open += 1
+        while self.n_open > self.open_windows:
+            yield from self._top_up()
+
+    def _take(self, level: int) -> list[Piece]:
+        self.levels[level] -= 1
+        self.n_open -= 1
+        return self.windows[level].pop()
+
+    def _top_up(self) -> Iterator[list[Piece]]:
+        """Tokens of the emptiest window go to the fullest, which leaves if that fills it."""
+        held = np.flatnonzero(self.levels)
+        fill, least = int(held[-1]), int(held[0])
+        window, other = self._take(fill), self._take(least)
+        lacks = min(self.capacity - fill, least)
+        fill, least = fill + lacks, least - lacks
+        while lacks:
+            piece = other.pop()
+            if piece.length > lacks:
+                piece, rest = piece.cut(lacks)
+                other.append(rest)
+            window.append(piece)
+            lacks -= piece.length
+        if fill == self.capacity:
+            yield window
+        for level, w in ((fill, window), (least, other)):
+            if 0 < level < self.capacity:
+                self.levels[level] += 1
+                self.n_open += 1
+                self.windows[level].append(w)
 
     def flush(self) -> Iterator[list[Piece]]:
-        pieces = [p for fill in sorted(self.windows, reverse=True) for w in self.windows[fill] for p in w]
-        self.windows.clear()
-        self.levels[:] = 0
-        left = sum(p.length for p in pieces)
-        size, window, room = 0, [], 0
-        for p in pieces:
-            while p.length:
-                if not room:
-                    if window:
-                        yield window
-                    size = self.capacity if left >= self.capacity else 1 << (left.bit_length() - 1)
-                    window, room = [], size
-                    left -= size
-                head, p = p.cut(min(room, p.length))
-                window.append(head)
-                room -= head.length
-        if window:
+        while self.n_open > 1:
+            yield from self._top_up()
+        if not self.n_open:
+            return
+        left = int(np.flatnonzero(self.levels)[0])
+        pieces = self._take(left)[::-1]
+        while left:
+            size = 1 << (left.bit_length() - 1)
+            window, room = [], size
+            while room:
+                piece = pieces.pop()
+                if piece.length > room:
+                    piece, rest = piece.cut(room)
+                    pieces.append(rest)
+                window.append(piece)
+                room -= piece.length
             yield window
+            left -= size
 
 
 def _rows(windows: Iterable[list[Piece]], first: int) -> tuple[list[tuple], int]:

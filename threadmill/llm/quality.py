@@ -21,7 +21,7 @@ SAMPLE = 8000
 #: A document is kept from this probability of the highest grade on.
 KEEP = 0.5
 GRADES = 3
-#: A feature that fewer rows of the sample have keeps weight 0.
+#: Regularisation, with the L1 term: a feature that fewer rows of the labelled sample have keeps weight 0.
 LEAST_ROWS = 12
 
 #: Lengths of the word beginnings that are features too: one stem stands in many forms.
@@ -39,7 +39,9 @@ def _hashed(name: str) -> int:
     if k is None:
         if len(_place) > 300_000:
             _place.clear()
-        k = _place[name] = zlib.crc32(name.encode("utf-8", "surrogatepass")) % DIMENSIONS
+        k = zlib.crc32(name.encode("utf-8", "surrogatepass")) % DIMENSIONS
+        if len(name) <= 64:  # longer ones aren't remembered
+            _place[name] = k
     return k
 
 
@@ -59,8 +61,7 @@ def features(text: str) -> np.ndarray:
     n = len(words)
     marks: dict[str, int] = {}
     for m in _MARKS.findall(text):
-        if len(m) <= 8:
-            marks[m] = marks.get(m, 0) + 1
+        marks[m] = marks.get(m, 0) + 1
     shares = [
         _share("repeat", sum(map(eq, words, words[1:])), n),
         _share("distinct", len(distinct), n),
@@ -90,14 +91,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
-def fit(places: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, sparse: float = 4e-4, steps: int = 200) -> Model:
+def fit(places: list[np.ndarray], grades: np.ndarray, n_grades: int = GRADES, sparse: float = 4e-4, steps: int = 200, least_rows: int = LEAST_ROWS) -> Model:
     """Cumulative-link logistic regression: P(grade > j) = sigmoid(w.x - threshold j).
 
-    Proximal steps over all rows; an L1 term keeps weights of chance features at 0. Deterministic."""
+    Proximal steps over all rows; an L1 term keeps weights of chance features at 0, and so does least_rows. Deterministic."""
     n = len(places)
     size = np.array([len(p) for p in places], dtype=np.int64)
     every = np.concatenate(places) if n else np.zeros(0, np.int32)
-    used = np.flatnonzero(np.bincount(every, minlength=DIMENSIONS) >= LEAST_ROWS)
+    used = np.flatnonzero(np.bincount(every, minlength=DIMENSIONS) >= least_rows)
     short = np.full(DIMENSIONS, -1)
     short[used] = np.arange(len(used))
     row, col = np.repeat(np.arange(n), size), short[every]
@@ -143,9 +144,15 @@ def graded(labels: DataFrame) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fits on at most `sample` labelled documents; what comes to the driver and is broadcast is bounded by that number."""
+    """Fits on at most `sample` labelled documents, those of the smallest hashes of doc_id; what comes to the driver and is
+    broadcast is bounded by that number.
+
+    Of rows that repeat a doc_id the one of the smallest hash of text (then the smallest text) counts, so the fit is the same
+    however rows are dealt. A null or empty text has the features of no words; without labelled rows all weights are 0; no other
+    column is read."""
     chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    rows = text_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "grade")
+    rows = text_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
+    one = rows.groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")).select("doc_id", F.col("first.text").alias("text"), "grade")
     schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("places", pa.list_(pa.int32()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,9 +161,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
                 part = batch.slice(k, 200)
                 yield to_batch(schema, [part.column(0), part.column(2), [features(t) for t in part.column(1).to_pylist()]])
 
-    # A repeated doc_id must not grow the sample past its bound.
-    one = rows.mapInArrow(run, "doc_id long, grade int, places array<int>").limit(2 * sample)
-    got = sorted(one.collect(), key=lambda r: (r.doc_id, len(r.places), r.places))
+    got = sorted(one.mapInArrow(run, "doc_id long, grade int, places array<int>").collect(), key=lambda r: r.doc_id)
     return fit([np.array(r.places, dtype=np.int32) for r in got], np.array([r.grade for r in got], dtype=np.int64))
 
 
@@ -177,7 +182,10 @@ def score(docs: DataFrame, model: Model, keep: float = KEEP, id_col: str = "doc_
 
 
 def kept(docs: DataFrame, model: Model, keep: float = KEEP, text_col: str = "text") -> DataFrame:
-    """docs without the rows that score() rejects; all columns stay."""
+    """docs without the rows that score() rejects; all columns stay, whatever their names, and values too (nulls stay null).
+
+    A null or empty text is judged by the features it has (no words), equal texts alike, so repeated rows stay or go together; an
+    empty table gives no rows."""
     small = Model(model.weights.astype(np.float32), model.thresholds)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

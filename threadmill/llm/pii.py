@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, text_of, to_batch
+from .common import SLICE_CHARS, slices, text_of, to_batch
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 #: In the order in which spans that start together are listed.
 KINDS = (*BASE_KINDS, "iban", "card_near", "phone_near", "national_id", "secret")
+_RANK = {k: n for n, k in enumerate(KINDS)}
 #: A further span is kept if its score reaches this; base spans always are.
 KEEP_SCORE = 0.6
 #: Characters before and after a span in which context words count, and what one such word adds.
@@ -153,9 +156,12 @@ def _further(text: str) -> Iterator[tuple[str, int, int, float]]:
             yield "national_id", *m.span(), 0.5
 
 
+_NEAR = {k: re.compile(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})(?!\w)") for k, words in CONTEXT.items()}
+
+
 def _context(kind: str, text: str, start: int, end: int) -> float:
     near = (text[max(0, start - CONTEXT_CHARS) : start] + " " + text[end : end + CONTEXT_CHARS]).lower()
-    return CONTEXT_ADDS * any(re.search(rf"(?<!\w){re.escape(w)}(?!\w)", near) for w in CONTEXT[kind])
+    return CONTEXT_ADDS * bool(_NEAR[kind].search(near))
 
 
 def find(text: str) -> list[Span]:
@@ -165,8 +171,12 @@ def find(text: str) -> list[Span]:
     a further kind is kept from KEEP_SCORE on and only where it doesn't overlap a base span."""
     base = [Span(k, s, e, min(1.0, x + _context(k, text, s, e))) for k, s, e, x in _base(text)]
     more = [Span(k, s, e, min(1.0, x + _context(k, text, s, e))) for k, s, e, x in _further(text)]
-    more = [m for m in more if m.score >= KEEP_SCORE and not any(m.start < b.end and b.start < m.end for b in base)]
-    return sorted(base + more, key=lambda x: (x.start, KINDS.index(x.kind)))
+    base.sort(key=lambda x: (x.start, _RANK[x.kind]))
+    # Of the base spans that begin before a span's end, none may reach past its start.
+    starts, reach = [b.start for b in base], list(accumulate((b.end for b in base), max))
+    clear = lambda m: not (k := bisect_left(starts, m.end)) or reach[k - 1] <= m.start
+    more = [m for m in more if m.score >= KEEP_SCORE and clear(m)]
+    return sorted(base + more, key=lambda x: (x.start, _RANK[x.kind]))
 
 
 def redact(text: str, spans: Iterable[Span]) -> str:
@@ -207,11 +217,22 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """docs with the personal data in its texts replaced; the other columns, their order and the rows stay. Null texts stay null."""
+    """docs with the personal data in its texts replaced; the other columns, whatever their names, their order and the rows stay.
+
+    A null text stays null, an empty one empty; equal rows are handled each for itself; an empty table gives no rows. About
+    SLICE_CHARS of text are held at a time."""
+
     def apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index(text_col)
-            texts = [None if t is None else redact(t, find(t)) for t in batch.column(k).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, type=pa.string()) if j == k else c for j, c in enumerate(batch.columns)], names=batch.schema.names)
+            texts, first, size = [], 0, 0
+            for n, t in enumerate(batch.column(k), 1):
+                t = t.as_py()
+                texts.append(None if t is None else redact(t, find(t)))
+                size += len(t or "")
+                if size >= SLICE_CHARS or n == batch.num_rows:
+                    part = batch.slice(first, n - first)
+                    yield pa.RecordBatch.from_arrays([pa.array(texts, type=pa.string()) if j == k else c for j, c in enumerate(part.columns)], names=batch.schema.names)
+                    texts, first, size = [], n, 0
 
     return docs.mapInArrow(apply, docs.schema)

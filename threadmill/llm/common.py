@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +23,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share.
 
-    The cluster names it in spark.checkpoint.dir; where that is unset (tests, one machine) it is /tmp/checkpoints."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    The cluster names it in spark.checkpoint.dir; where that is unset on one machine (tests), it is /tmp/checkpoints."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "/tmp/checkpoints"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Sessions that write at the moment: how many writes, and the setting before the first of them.
+_writing: dict[int, tuple[int, str | None]] = {}
+_lock = threading.Lock()
+
+
+@contextmanager
+def _dropping_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries that end in here are dropped at once; writes side by side in one session share the setting."""
+    with _lock:
+        n, before = _writing.get(id(spark), (0, spark.conf.get(_CLEANUP, None)))
+        _writing[id(spark)] = n + 1, before
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            n, before = _writing.pop(id(spark))
+            if n > 1:
+                _writing[id(spark)] = n - 1, before
+            elif before is None:
+                spark.conf.unset(_CLEANUP)
+            else:
+                spark.conf.set(_CLEANUP, before)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -34,13 +63,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
     The shuffle files behind it aren't needed any more then, and are dropped at once."""
     spark = df.sparkSession
-    path, before = shared_folder(spark, name), spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
+    path = shared_folder(spark, name)
+    with _dropping_shuffle_files(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a table that stored() made, once nothing reads it any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(name: str, columns: Iterable[str]) -> str:
+    """name, or it with marks behind, so that no column has it in any case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def text_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored
+from .common import discard, stored, unused
 
 #: Bytes of a block.
 BLOCK = 8192
@@ -54,6 +54,7 @@ def identities(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text
     else:
         level = blocks.select("row", *own, "n", "k", "hash").join(names.select("hash", "name"), "hash").drop("hash")
     level = stored(level, "level")
+    discard(names)
     done, depth = [level.filter("n = 1").withColumn("levels", F.lit(0))], 0
     left = level.filter("n > 1")
     while left.limit(1).count():
@@ -62,7 +63,10 @@ def identities(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text
         second = F.coalesce(F.max(F.when(F.col("k") % 2 == 1, F.col("name"))), F.lit(-1))
         pairs = left.groupBy("row", F.floor(F.col("k") / 2).cast("int").alias("half")).agg(*[F.max(c).alias(c) for c in ("doc_id", "n_chars", "sha256")], F.max("n").alias("n"), first.alias("a"), second.alias("b"))
         pairs = stored(pairs.withColumn("n", F.ceil(F.col("n") / 2).cast("int")).withColumnRenamed("half", "k"), "pairs")
-        level = stored(pairs.join(_named(pairs, "a", "b"), ["a", "b"]).drop("a", "b"), "level")
+        names = _named(pairs, "a", "b")
+        level = stored(pairs.join(names, ["a", "b"]).drop("a", "b"), "level")
+        discard(names)
+        discard(pairs)
         done.append(level.filter("n = 1").withColumn("levels", F.lit(depth)))
         left = level.filter("n > 1")
     out = done[0]
@@ -93,9 +97,12 @@ def classes(docs: DataFrame, block: int = BLOCK, id_col: str = "doc_id", text_co
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that classes() doesn't keep; all columns stay.
+    """docs without the rows that classes() doesn't keep; all columns stay, whatever their names, and the values of kept rows.
+
+    Null texts count as empty, and of rows without any text one stays; of equal rows one stays; an empty table gives no rows.
 
     docs is stored once with its row numbers, for classes() and for the join: another scan may pack files differently."""
-    numbered = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    kept = classes(numbered, id_col=id_col, text_col=text_col, row_col="_row").filter("kept").select(F.col("row").alias("_row"))
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    row = unused("_row", docs.columns)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    kept = classes(numbered, id_col=id_col, text_col=text_col, row_col=row).filter("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import stored, to_batch
+from .common import discard, stored, to_batch
 
 #: Characters from which lines are compared with others than equal ones: all are.
 LEAST_CHARS = 1
@@ -136,9 +136,8 @@ def _variants(texts: DataFrame) -> DataFrame:
     return texts.select("node", "flags", "content").mapInArrow(run, "node long, own long, same array<long>, shorter array<long>")
 
 
-def _links(texts: DataFrame) -> DataFrame:
+def _links(texts: DataFrame, made: DataFrame) -> DataFrame:
     """a, b, n: lines within the bound, b the first node of those that share a's variant; n: how many links of a that stands for."""
-    made = stored(_variants(texts), "variants")
     same = made.select("node", F.explode("same").alias("key"))
     groups = same.groupBy("key").agg(F.min("node").alias("first"), F.count("*").alias("c")).filter("c > 1")
     alike = same.join(groups, "key").select(F.col("node").alias("a"), F.col("first").alias("b"), (F.col("c") - 1).alias("n"))
@@ -172,10 +171,14 @@ def kept_lines(docs: DataFrame, least: int = LEAST_CHARS, id_col: str = "doc_id"
     ranked = stored(wanted.orderBy("first").withColumn("rank", F.monotonically_increasing_id()), "ranked")
     asked = ranked.select(F.col("rank").alias("node"), "flags", "first.by", "first.text_hash", "first.line")
     texts = stored(_texts(plain.select("by", "text_hash", "text"), asked).dropDuplicates(["node"]), "texts")
-    near = stored(_links(texts).groupBy(F.col("a").alias("rank")).agg(F.min("b").alias("near"), F.sum("n").alias("n_links")), "near")
+    made = stored(_variants(texts), "variants")
+    near = stored(_links(texts, made).groupBy(F.col("a").alias("rank")).agg(F.min("b").alias("near"), F.sum("n").alias("n_links")), "near")
+    discard(made)
     found = ranked.join(near, "rank").select("node", "near", "n_links").join(ranked.select(F.col("rank").alias("near"), F.col("first").alias("before")), "near")
     named = nodes.drop("keys").join(found, "node", "left")
     best = F.when(F.col("before") < F.col("first"), F.col("before")).otherwise(F.col("first"))
     named = stored(named.select("h1", "h2", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), best.alias("best")), "named")
+    for t in (nodes, wanted, ranked, texts, near):
+        discard(t)
     itself = (F.col("best.row") == F.col("row")) & (F.col("best.line") == F.col("line"))
     return lines.join(named, ["h1", "h2"]).select("doc_id", "line", F.col("best.doc_id").alias("keep_doc"), F.col("best.line").alias("keep_line"), "copies", "n_links", itself.alias("kept"))

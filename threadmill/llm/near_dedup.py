@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import slices, stored, text_of, to_batch
+from .common import discard, slices, stored, text_of, to_batch, unused
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -128,22 +128,22 @@ def _digests(regions: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.nda
     return sums[0], sums[1]
 
 
-_FEATURES = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
+_FEATURES = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("n", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
 def _features(docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = batch.column(2).to_pylist()
+            numbers = batch.column(2).to_pylist()
             at = 0
             for ids, texts in slices([batch]):
                 regions, count = shingles(texts)
                 d1, d2 = _digests(regions, count)
                 keys = band_keys(signatures(regions, count)).view(np.int64)
-                yield to_batch(_FEATURES, [ids, hashes[at : at + len(ids)], d1, d2, count, list(keys)])
+                yield to_batch(_FEATURES, [ids, numbers[at : at + len(ids)], d1, d2, count, list(keys)])
                 at += len(ids)
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, d1 long, d2 long, n long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, row long, d1 long, d2 long, n long, bands array<long>")
 
 
 _SETS = pa.schema([("node", pa.int64()), ("regions", pa.list_(pa.int64()))])
@@ -228,31 +228,35 @@ def _across(split: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label (the smallest node that it is connected to) for all nodes of links (a, b).
+    """node, label (the smallest node that it is connected to; and old, the same) for all nodes of links (a, b).
 
     Each round takes the least label around and then the label's own label, so chains halve; labels stay in stored tables."""
     edges = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = stored(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least")).select("node", F.least("node", "least").alias("label")), "labels")
     while True:
-        around = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("around"))
+        around = edges.join(labels.select("node", "label"), edges["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("around"))
         near = labels.join(around, labels["node"] == around["a"], "left").select("node", F.col("label").alias("old"), F.least("label", "around").alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         new = stored(near.join(up, "label", "left").select("node", "old", F.least("label", "up").alias("label")), "labels")
-        labels = new.select("node", "label")
+        discard(labels)
         if not new.filter("label <> old").limit(1).count():
-            return labels
+            discard(edges)
+            return new
+        labels = new
 
 
-def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of docs: doc_id, class_id (the smallest doc_id of its class), class_size, kept, and text_hash.
+def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row for each row of docs: doc_id, class_id (the smallest doc_id of its class), class_size, kept, and row (row_col, or a
+    number made here that no other read of docs repeats for sure).
 
     Documents whose weighted sets of shingles are equal are one node, however many; nodes are compared where they share a band:
     first each with the smallest of its bucket, which joins large groups without their pairs, then, in blocks, those that are not
     of their bucket's largest class with all others, so no link is lost that a bucket shows. Each comparison is exact. A class is a connected
     component. Its kept row is that of the smallest doc_id; of rows that agree in it, one. A null or empty text has no shingle;
     such rows are one class. A null id counts as the largest. An empty table gives no rows; no other column is read."""
-    plain = text_of(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
-    rows = stored(_features(plain).withColumn("row", F.monotonically_increasing_id()), "features")
+    plain = text_of(docs, id_col, text_col)
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    rows = stored(_features(docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), row.alias("row"))), "features")
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(_LAST)).alias("by"), "row", "doc_id"))
     nodes = rows.groupBy("d1", "d2", "n").agg(first.alias("rep"), F.count("*").alias("copies"))
     nodes = stored(nodes.select("d1", "d2", "n", "rep", "copies", F.col("rep.doc_id").alias("rep_doc"), F.monotonically_increasing_id().alias("node")), "nodes")
@@ -264,20 +268,30 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_
     sets = stored(_sets(plain, wanted), "sets")
     links = stored(_verified(pairs, sets, similarity), "links")
     labels = components(links)
-    known = buckets.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    discard(pairs)
+    known = buckets.join(labels.select("node", "label"), "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     mixed_up = known.groupBy("band").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most").select("band")
     split = stored(known.join(mixed_up, "band", "left_semi"), "split")
     more = stored(_across(split, sets, similarity), "links")
+    for t in (split, buckets, sets):
+        discard(t)
     if more.limit(1).count():
+        discard(labels)
         labels = components(links.union(more))
-    named = nodes.join(labels, "node", "left").select("d1", "d2", "n", "rep", "copies", F.coalesce("label", "node").alias("label"))
+    named = nodes.join(labels.select("node", "label"), "node", "left").select("d1", "d2", "n", "rep", "copies", F.coalesce("label", "node").alias("label"))
     groups = stored(named.groupBy("label").agg(F.min("rep").alias("best"), F.sum("copies").alias("class_size")), "groups")
     place = stored(named.join(groups, "label").select("d1", "d2", "n", "best", "class_size"), "places")
-    return rows.join(place, ["d1", "d2", "n"]).select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("best.row") == F.col("row")).alias("kept"), "text_hash")
+    for t in (groups, labels, links, more, nodes):
+        discard(t)
+    return rows.join(place, ["d1", "d2", "n"]).select("doc_id", F.col("best.doc_id").alias("class_id"), "class_size", (F.col("best.row") == F.col("row")).alias("kept"), "row")
 
 
 def without_near_copies(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class; all columns stay. Rows that agree in id and text stay or go together."""
-    kept = classes(docs, similarity, id_col, text_col).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"))
-    same = F.col(id_col).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_kept_hash"))
-    return docs.join(kept, same, "left_semi")
+    """docs with one row of each class; all columns stay, whatever their names, and the values of kept rows.
+
+    docs is stored once with its row numbers, for classes() and for the join. Null and empty texts are one class; of rows that
+    agree in id and text one stays; a null id counts as the largest; an empty table gives no rows."""
+    row = unused("_row", docs.columns)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    kept = classes(numbered, similarity, id_col, text_col, row).filter("kept").select(F.col("row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)

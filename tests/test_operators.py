@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from threadmill.model import FACEBOOK, SCHEMAS, VIBER
 from threadmill.operators import blocks, bubbles, candidates, folds, sidemap, sides, transcript
-from threadmill.operators.sides import Bubble, Screen
+from threadmill.operators.candidates import Bubble
 from threadmill.sources import side_csv
 
 OCR = """[SCREEN 1]
@@ -108,39 +108,64 @@ def test_fold_compares_with_the_last_kept_row():
     assert folds.postprocessed(again) == again
 
 
-def screen(timed=(), geometric=(), allowed=(), date="01/02/2026"):
-    return Screen(date, 2026, frozenset(allowed), tuple(timed), tuple(geometric))
-
-
 def csv_of(*rows):
     return side_csv.text_of(rows)
 
 
-def test_facebook_rows():
-    g = (Bubble(0, "LEFT", "Where are you going my friend"), Bubble(1, "RIGHT", "to the market for bread"), Bubble(2, "LEFT", "bring some milk as well"))
-    s = screen(geometric=g, allowed=("10:15",))
-    got = sides.normalize_facebook(csv_of(("10:15", "RIGHT", "where are you going my friend"), ("10:15", "OUTGOING", "to the market for bread"), ("later", "LEFT", "no time")), s, FACEBOOK)
-    assert got == [("01/02/2026 10:15", "LEFT", "where are you going my friend"), ("01/02/2026 10:15", "RIGHT", "to the market for bread"), ("01/02/2026 10:15", "LEFT", "bring some milk as well")]
-    merged = sides.split_by_geometry("where are you going my friend and bring some milk as well", "LEFT", g)
-    assert merged == [g[0].text, g[2].text]
-    kept = sides._Kept()
-    kept.add(FACEBOOK, "t", "LEFT", "we go to town")
-    kept.add(FACEBOOK, "t", "LEFT", "to town")  # short and within an earlier row
-    kept.add(FACEBOOK, "t", "RIGHT", "to town")
-    assert kept.rows == [("t", "LEFT", "we go to town"), ("t", "RIGHT", "to town")]
+def context(spark, timed=(), geometric=(), allowed=(), date="01/02/2026"):
+    """One screen's context from (side, text, hhmm) of its bubbles."""
+    made = [("a", 1, kind, k, hhmm, side, None, text) for kind, some in (("timed", timed), ("geom", geometric)) for k, (side, text, hhmm) in enumerate(some)]
+    screens = spark.createDataFrame([("a", 1, date, 2026)], "image_id string, screen_idx int, visible_date string, default_year int")
+    return sides.contexts(screens, spark.createDataFrame(made, SCHEMAS["bubble"]), spark.createDataFrame([("a", 1, h) for h in allowed], SCHEMAS["allowed_time"]))
+
+
+def normalized(spark, profile, content, **known):
+    got = sides.normalized(spark.createDataFrame([("a", 1, "draft", content)], SCHEMAS["side_csv_text"]), context(spark, **known), profile)
+    return [tuple(r) for r in got.orderBy("row_no").select("time_text", "side", "message").collect()]
+
 
+GAPS = (("LEFT", "Where are you going my friend", None), ("RIGHT", "to the market for bread", None), ("LEFT", "bring some milk as well", None))
+AT = "01/02/2026 10:15"
 
-def test_viber_rows():
-    timed = (Bubble(0, "LEFT", "Good morning to you all", "10:15"), Bubble(1, "RIGHT", "and to you my friend", "10:16"))
-    s = screen(timed=timed, allowed=("10:15", "10:16"))
-    got = sides.normalize_viber(csv_of(("10:16", "LEFT", "and to you my friend"), ("10:99", "LEFT", "x y"), ("12:00", "LEFT", "not visible")), s, VIBER)
-    assert got == [("01/02/2026 10:15", "LEFT", "Good morning to you all"), ("01/02/2026 10:16", "RIGHT", "and to you my friend")]
 
+def test_rows_against_bubbles_told_apart_by_gaps(spark):
+    rows = csv_of(("10:15", "RIGHT", "where are you going my friend"), ("10:15", "OUTGOING", "to the market for bread"), ("later", "LEFT", "no time"))
+    assert normalized(spark, FACEBOOK, rows, geometric=GAPS, allowed=("10:15",)) == [(AT, "LEFT", "where are you going my friend"), (AT, "RIGHT", "to the market for bread"), (AT, "LEFT", "bring some milk as well")]
+    merged = csv_of(("10:15", "LEFT", "where are you going my friend and bring some milk as well"))
+    # Each part takes the side of its row; what no row covers is added and stands where its bubble does.
+    assert normalized(spark, FACEBOOK, merged, geometric=GAPS) == [(AT, "LEFT", GAPS[0][1]), (AT, "RIGHT", GAPS[1][1]), (AT, "LEFT", GAPS[2][1])]
+    # A broken start in lower case is repaired from the bubble that says the same.
+    broken = csv_of(("10:15", "LEFT", "where are you going my friend yoU"))
+    assert normalized(spark, FACEBOOK, broken, geometric=GAPS[:1]) == [(AT, "LEFT", "Where are you going my friend")]
+    assert normalized(spark, FACEBOOK, csv_of(("10:15", "LEFT", "Seen")), geometric=GAPS) == []  # nothing is added to no rows
+    few = csv_of(("10:15", "LEFT", "we go to town"), ("10:15", "LEFT", "to town"), ("10:15", "RIGHT", "to town"), ("10:15", "LEFT", "we go to town"))
+    assert normalized(spark, FACEBOOK, few) == [(AT, "LEFT", "we go to town"), (AT, "RIGHT", "to town")]
+    # An added bubble takes the place of others like it.
+    again = (*GAPS, ("LEFT", "bring some milk as well please", None))
+    assert len(normalized(spark, FACEBOOK, rows, geometric=again)) == 3
+    assert normalized(spark, FACEBOOK, '"unclosed', geometric=GAPS) == normalized(spark, FACEBOOK, "", geometric=GAPS) == []
 
-def test_visual_order_puts_unmatched_rows_last():
-    g = (Bubble(0, "LEFT", "first of all these"), Bubble(1, "LEFT", "second of all those"))
-    made = [("t", "LEFT", "nothing alike"), ("t", "LEFT", "second of all those"), ("t", "LEFT", "first of all these")]
-    assert [m for *_, m in sides.visual_order(made, g)] == ["first of all these", "second of all those", "nothing alike"]
+
+def test_rows_against_bubbles_closed_by_times(spark):
+    timed = (("LEFT", "Good morning to you all", "10:15"), ("RIGHT", "and to you my friend", "10:16"))
+    rows = csv_of(("10:16", "LEFT", "and to you my friend"), ("10:99", "LEFT", "x y"), ("12:00", "LEFT", "not visible"))
+    want = [(AT, "LEFT", "Good morning to you all"), ("01/02/2026 10:16", "RIGHT", "and to you my friend")]
+    assert normalized(spark, VIBER, rows, timed=timed, allowed=("10:15", "10:16")) == want
+    assert normalized(spark, VIBER, "", timed=timed) == [(AT, "LEFT", "Good morning to you all"), ("01/02/2026 10:16", "RIGHT", "And to you my friend".replace("And", "and"))]
+    # Of several bubbles at one time the words decide on the side.
+    both = (("LEFT", "one two three four", "10:15"), ("RIGHT", "five six seven eight", "10:15"))
+    assert normalized(spark, VIBER, csv_of(("10:15", "LEFT", "five six seven")), timed=both[1:] + both[:1])[0][1:] == ("RIGHT", "five six seven")
+    # A merged row becomes the bubbles of its time.
+    same = (("LEFT", "one two three four", "10:15"), ("LEFT", "five six seven eight", "10:15"))
+    merged = csv_of(("10:15", "LEFT", "one two three four five six seven eight nine"))
+    assert normalized(spark, VIBER, merged, timed=same) == [(AT, "LEFT", "one two three four"), (AT, "LEFT", "five six seven eight")]
+    assert normalized(spark, VIBER, merged, timed=same, date="") == []  # no date, so no full time
+
+
+def test_visual_order_puts_unmatched_rows_last(spark):
+    g = (("LEFT", "first of all these", None), ("LEFT", "second of all those", None))
+    made = csv_of(("10:15", "LEFT", "nothing alike"), ("10:15", "LEFT", "second of all those"), ("10:15", "LEFT", "first of all these"))
+    assert [m for *_, m in normalized(spark, FACEBOOK, made, geometric=g)] == ["first of all these", "second of all those", "nothing alike"]
 
 
 def test_candidates():
@@ -152,13 +177,33 @@ def test_candidates():
     assert candidates.chosen(draft, repair, ["10:15", "10:16"], 2, g, False) == repair
     assert candidates.chosen(draft, draft, [], 2, g, True) == draft
     assert candidates.additive(draft, repair, [], 2, g) == repair
-    assert candidates.needs_repair("") and candidates.needs_repair(draft, 3) and not candidates.needs_repair(draft, 2)
     polished = candidates.polished_text(csv_of(("x", "LEFT", "Hello, are you there?")), draft)
     assert candidates.polish_chosen(draft, polished, [], 1, []) == polished
     assert candidates.polish_chosen(draft, csv_of(("01/02/2026 10:15", "LEFT", "Something else was said")), [], 1, []) == draft
     assert candidates.polished_text(repair, draft) == ""
 
 
+@pytest.mark.parametrize(
+    ("messages", "expected", "wanted"),
+    [
+        ([], 0, True),
+        (["All is well here."], 0, False),
+        (["All is well here."], 2, False),
+        (["All is well here."], 3, True),
+        (["Come at 10:15 please."], 0, True),
+        (["and so it goes"], 0, True),
+        (["I said they The end of it all was near to us now and then so we all went out"], 0, True),
+        (["All is well here.", "All is well here!"], 0, True),  # a near repeat
+        (["All is well here", "and there."], 0, True),  # the rest of the row before
+        (["All is well here. " + "Very long it is, " * 14 + "done. We go."], 0, True),
+    ],
+)
+def test_screens_that_need_a_repair(spark, messages, expected, wanted):
+    rows = spark.createDataFrame([("a", 1, "draft", k, "01/02/2026 10:15", "LEFT", m) for k, m in enumerate(messages)], SCHEMAS["side_row"])
+    screens = spark.createDataFrame([("a", 1, expected)], "image_id string, screen_idx int, expected int")
+    assert candidates.needing_repair(rows, screens).count() == wanted
+
+
 def test_scores_as_a_plan_equal_the_plain_score(spark):
     r = random.Random(3)
     words = "hello are you there and so it goes The end of 10:15 it was".split()

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, functions as F
 
 
 class Rule(NamedTuple):
-    """A rewrite: pattern and replacement in Python's notation (groups as \\1)."""
+    """A rewrite: pattern and replacement in Python's notation (groups as \\1). literal: what the pattern stands for, if it is plain text."""
 
     pattern: str
     replacement: str
     fold_case: bool = False
+    literal: str | None = None
 
 
 def _java(pattern: str, fold_case: bool = False) -> str:
@@ -23,11 +25,25 @@ def _java(pattern: str, fold_case: bool = False) -> str:
 
 def rewritten(value: Column, rules: list[Rule]) -> Column:
     for r in rules:
+        if r.literal is not None:
+            value = F.replace(value, F.lit(r.literal), F.lit(r.replacement))
+            continue
         replacement = re.sub(r"\\(\d)", r"$\1", r.replacement.replace("$", r"\$"))
         value = F.regexp_replace(value, _java(r.pattern, r.fold_case), replacement)
     return value
 
 
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value computed once however often f uses it; expressions that are copied into branches grow with each step."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def rewritten_if_any(value: Column, rules: list[Rule]) -> Column:
+    """rewritten(), tried only where one of the patterns is found: where none is, no rule changes anything."""
+    some = "|".join(f"(?i:{r.pattern})" if r.fold_case else f"(?:{r.pattern})" for r in rules)
+    return bound(value, lambda v: F.when(v.rlike("(?U)" + some), rewritten(v, rules)).otherwise(v))
+
+
 def found(value: Column, pattern: str, fold_case: bool = False) -> Column:
     return value.rlike(_java(pattern, fold_case))
 
@@ -39,17 +55,26 @@ def rewrite(text: str, rules: list[Rule]) -> str:
 
 
 def _literal(old: str, new: str) -> Rule:
-    return Rule(re.escape(old), new)
+    return Rule(re.escape(old), new, literal=old)
 
 
 # ---- Fixed values: these must stay as they are for results to agree. ----
 
+#: Overlaps of words from which a bubble tells a row's side, is its text, is it in the same minute, covers it, or gives it its place.
+SAME_SIDE, SAME_TEXT, SAME_MINUTE, COVERED, MATCHED = 0.72, 0.86, 0.66, 0.62, 0.48
+#: Misreadings that mark a broken message, and words that stand where none of them can.
+BROKEN = r"\b(?:I{2}l|1['’]?ll|Ijust|Iwill|Icant|yoU|sO)\b"
+MISPLACED = r"\b(they|can|the|and|but)\s+(The|I|I'm|I'll|You|We|They)\b"
+#: A long message, and what in it begins a sentence of its own.
+LONG, RUN_ON = 220, r"[.!?].+\b(I|You|We|They|Please|Thank|The|There)\b"
+CLOCK_SHAPE = r"\b\d{1,2}[:.,;]\d{2}\b"
+
 IMAGE_EXTENSIONS = (".png", ".jpg", ".jpeg", ".webp", ".bmp", ".tif", ".tiff")
 REPORT_EXTENSIONS = (".pdf", ".txt")
 IGNORED_DIRS = ("__macosx", ".git", ".svn", ".hg", "node_modules", "__pycache__")
 
 MONTHS = "Jan|January|Feb|February|Mar|March|Apr|April|May|Jun|June|Jul|July|Aug|August|Sep|Sept|September|Oct|October|Nov|November|Dec|December"
-MONTH_NUMBERS = {m: k for k, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
+MONTH_NUMBERS = {"jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6, "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12}
 CLOCK = r"(?<![A-Za-z0-9])\d{1,2}[:.,;]\d{2}(?![A-Za-z0-9])"
 TICKS = r"\s*(vi|v|✓|✔|✔✔)+\s*$"
 EMOJI = "[\U0001f1e6-\U0001f1ff\U0001f300-\U0001f5ff\U0001f600-\U0001f64f\U0001f680-\U0001f6ff\U0001f700-\U0001f77f\U0001f780-\U0001f7ff\U0001f800-\U0001f8ff\U0001f900-\U0001f9ff\U0001fa00-\U0001faff\u2600-\u26ff\u2700-\u27bf]+"
@@ -72,15 +97,20 @@ _VERBS = (
     "am|was|will|can|can't|cannot|need|have|think|feel|want|would|could|should|do|don't|dont|love|trust|promise|know|hope|wish|believe|already|"
     "just|may|must|might|see|ask|tell|try|send|keep|call|go|complete|look|admire"
 )
-_GLUED = {w: w for w in "just will need love may feel already".split()} | {"cant": "can't", "can't": "can't"} | {w: w for w in "can have think want would could should promise believe hope see".split()}
+#: What follows an I that is glued to it, and what it is then.
+GLUED = {
+    "just": "just", "will": "will", "need": "need", "love": "love", "may": "may", "feel": "feel", "already": "already", "cant": "can't", "can't": "can't",
+    "can": "can", "have": "have", "think": "think", "want": "want", "would": "would", "could": "could", "should": "should", "promise": "promise",
+    "believe": "believe", "hope": "hope", "see": "see",
+}
 
 SPACES = [Rule(r"\s+", " "), Rule(r"^ | $", "")]
 TRIM = [Rule(r"^\s+|\s+$", "")]
 QUOTES = [Rule("[“”]", '"'), Rule("[‘’]", "'")]
 PUNCTUATION = [Rule(r"\s+([,.;:!?])", r"\1"), Rule(r"([,.;:!?])(?=[A-Za-z])", r"\1 ")]
 
-#: Cleaning of a message, first part.
-CLEAN = [
+#: Cleaning of a message, first part, in order: the start, glued words, contractions and misread words, marks.
+CLEAN_START = [
     *TRIM,
     _literal('\\"', '"'),
     *QUOTES,
@@ -88,7 +118,9 @@ CLEAN = [
     Rule(CLOCK, " "),
     *SPACES,
     Rule(rf"(^|[\s,.;:!?])\|\s+({_VERBS})\b", r"\1I \2", True),
-    *[Rule(rf"\bI{re.escape(w)}\b", f"I {to}", True) for w, to in _GLUED.items()],
+]
+CLEAN_GLUED = [Rule(rf"\bI{re.escape(w)}\b", f"I {to}", True) for w, to in GLUED.items()]
+CLEAN_CONTRACTED = [
     Rule(r"\bI\s*m\b", "I'm", True),
     Rule(r"\bIm\b", "I'm"),
     Rule(r"\bTm\b", "I'm"),
@@ -100,27 +132,34 @@ CLEAN = [
     Rule(r"\b1['’]?I[lI]\b", "I'll"),
     Rule(r"\b1['’]?ll\b", "I'll", True),
     Rule(r"\bTII\s*keep\b", "I'll keep", True),
+]
+CLEAN_DOLLARS = [
     Rule(r"\b([A-Za-z]+)'\$\b", r"\1's"),
     Rule(r"\bit\$\b", "it's", True),
     Rule(r"\bthat\$\b", "that's", True),
+]
+CLEAN_QUOTED = [
     Rule(r'\b([Ii])t\s*["]+\s*s\b', "It's"),
     Rule(r'\b([Tt])hat\s*["]+\s*s\b', "That's"),
     Rule(r'\b([Dd])on\s*["]+\s*t\b', "don't"),
     Rule(r'\b([Cc])an\s*["]+\s*t\b', "can't"),
+]
+CLEAN_WORDS = [
     Rule(r"\bIcant\b", "I can't", True),
     Rule(r"\bIcan't\b", "I can't", True),
     Rule(r"\bdont\b", "don't", True),
     Rule(r"\byoure\b", "you're", True),
     Rule(r"\bthats\b", "that's", True),
     Rule(r"\bits\b", "it's"),
+]
+CLEAN_MISREAD = [
     Rule(r"\bsO\b", "so"),
     Rule(r"\byoU\b", "you"),
     Rule(r"\bJi00\b", "I"),
     Rule(r"\bIı\b", "I"),
-    _literal("=", " "),
-    _literal("__", "..."),
-    _literal("_", ""),
 ]
+CLEAN_MARKS = [_literal("=", " "), _literal("__", "..."), _literal("_", "")]
+CLEAN = [*CLEAN_START, *CLEAN_GLUED, *CLEAN_CONTRACTED, *CLEAN_DOLLARS, *CLEAN_QUOTED, *CLEAN_WORDS, *CLEAN_MISREAD, *CLEAN_MARKS]
 #: Second part, where no label of LABELS stands before a colon.
 CLEAN_UNLABELLED = [
     Rule(r";\s+(?=(I|I'm|I'll|you|we|it|that|this|the|they|there|but|and|more|please|thank)\b)", ", ", True),

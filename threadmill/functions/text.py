@@ -30,13 +30,23 @@ def without_emojis(c: Column) -> Column:
     return t.rewritten(F.coalesce(c, F.lit("")), [t.Rule(t.EMOJI, ""), *t.SPACES])
 
 
+def _unglued(c: Column) -> Column:
+    """t.CLEAN_GLUED in few passes: glued words in lower case at once, as they stay; those in other cases, rare, by the rules."""
+    same, other = [w for w, to in t.GLUED.items() if w == to and "'" not in w], "I can't"
+    c = t.rewritten(c, [t.Rule(r"\b[Ii]can'?t\b", other), t.Rule(rf"\b[Ii]({'|'.join(same)})\b", r"I \1")])
+    return t.rewritten_if_any(c, t.CLEAN_GLUED)
+
+
 def clean_message(c: Column) -> Column:
     """The whole message cleaning; its parts run in order, the second one only on rows without a label."""
-    c = t.rewritten(F.coalesce(c, F.lit("")), t.CLEAN)
-    c = F.when(t.found(c, rf"\b({t.LABELS})\s*:", True), c).otherwise(t.rewritten(c, t.CLEAN_UNLABELLED))
-    c = t.rewritten(c, t.CLEAN_END)
-    ends = c.endswith(":") & ~t.found(c, rf"\b({t.LABELS})\s*:$", True) & (F.regexp_count(c, F.lit(r"(?U)\b\w+\b")) >= 4)
-    return stripped(F.when(ends, F.concat(F.substring(c, F.lit(1), F.length(c) - 1), F.lit("."))).otherwise(c))
+    c = _unglued(t.rewritten(F.coalesce(c, F.lit("")), t.CLEAN_START))
+    for rules in (t.CLEAN_CONTRACTED, t.CLEAN_DOLLARS, t.CLEAN_QUOTED, t.CLEAN_WORDS, t.CLEAN_MISREAD):
+        c = t.rewritten_if_any(c, rules)
+    labelled = lambda c: t.found(c, rf"\b({t.LABELS})\s*:", True)
+    c = t.bound(t.rewritten(c, t.CLEAN_MARKS), lambda c: F.when(labelled(c), c).otherwise(t.rewritten(c, t.CLEAN_UNLABELLED)))
+    ends = lambda c: c.endswith(":") & ~t.found(c, rf"\b({t.LABELS})\s*:$", True) & (F.regexp_count(c, F.lit(r"(?U)\b\w+\b")) >= 4)
+    dotted = lambda c: F.concat(F.substring(c, F.lit(1), F.length(c) - 1), F.lit("."))
+    return stripped(t.bound(t.rewritten(c, t.CLEAN_END), lambda c: F.when(ends(c), dotted(c)).otherwise(c)))
 
 
 def final_clean(c: Column) -> Column:
@@ -109,21 +119,21 @@ def is_date_or_time(c: Column) -> Column:
     return is_date(c) | is_time(c)
 
 
-def _in_day(hours: Column, minutes: Column) -> Column:
-    h, m = F.try_to_number(hours, F.lit("99")).cast("int"), F.try_to_number(minutes, F.lit("99")).cast("int")
-    return F.when((h <= 23) & (m <= 59), F.concat(F.lpad(h.cast("string"), 2, "0"), F.lit(":"), F.lpad(m.cast("string"), 2, "0")))
+def _in_day(c: Column, clock: str) -> Column:
+    """HH:MM of the clock's two groups, where they are a time of day; else null."""
+    two = lambda k: F.try_to_number(F.regexp_extract(c, clock, k), F.lit("99")).cast("int")
+    shown = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return t.bound(F.struct(two(1).alias("h"), two(2).alias("m")), lambda p: F.when((p["h"] <= 23) & (p["m"] <= 59), F.concat(shown(p["h"]), F.lit(":"), shown(p["m"]))))
 
 
 def visible_time(c: Column) -> Column:
     """HH:MM of a noisy clock token, or null."""
-    c, clock = _clock_text(c), r"(?U)^(\d{1,2}):(\d{2})$"
-    return _in_day(F.regexp_extract(c, clock, 1), F.regexp_extract(c, clock, 2))
+    return t.bound(_clock_text(c), lambda c: _in_day(c, r"(?U)^(\d{1,2}):(\d{2})$"))
 
 
 def hhmm(c: Column) -> Column:
     """HH:MM at the end of a full time, or null."""
-    end = r"(?U)(\d{1,2})[:.;,*](\d{2})\s*$"
-    return _in_day(F.regexp_extract(c, end, 1), F.regexp_extract(c, end, 2))
+    return _in_day(c, r"(?U)(\d{1,2})[:.;,*](\d{2})\s*$")
 
 
 def month_number(c: Column) -> Column:
@@ -133,19 +143,23 @@ def month_number(c: Column) -> Column:
 
 def forced_date(time: Column, visible_date: Column, default_year: Column) -> Column:
     """A time under the screen's visible date; without one, under the report's year. Hours and minutes aren't checked here."""
-    v = t.rewritten(F.replace(t.rewritten(stripped(time), [t.Rule(r'^"+|"+$', "")]), F.lit(";"), F.lit(":")), [t.Rule(r"\s+", " ")])
     full = r"(?U)(\d{1,2})/(\d{1,2})/(20\d{2})\s*,?\s*(\d{1,2})[:.;,*](\d{2})"
-    part = lambda k: F.lpad(F.regexp_extract(v, full, k), 2, "0")
-    clock, shown, dated = F.concat(part(4), F.lit(":"), part(5)), F.coalesce(visible_date, F.lit("")), F.coalesce(visible_date, F.lit("")) != ""
-    own = F.concat(part(1), F.lit("/"), part(2), F.lit("/"), default_year.cast("string"), F.lit(" "), clock)
-    bare = visible_time(v)
-    return F.when(t.found(v, full[4:]), F.when(dated, F.concat(shown, F.lit(" "), clock)).otherwise(own)).when(bare.isNotNull() & dated, F.concat(shown, F.lit(" "), bare)).otherwise(v)
+    shown = F.coalesce(visible_date, F.lit(""))
+
+    def dated(v: Column) -> Column:
+        part = lambda k: F.lpad(F.regexp_extract(v, full, k), 2, "0")
+        day = F.when(shown != "", shown).otherwise(F.concat(part(1), F.lit("/"), part(2), F.lit("/"), default_year.cast("string")))
+        bare = F.coalesce(F.concat(F.nullif(shown, F.lit("")), F.lit(" "), visible_time(v)), v)
+        return F.when(t.found(v, full[4:]), F.concat(day, F.lit(" "), part(4), F.lit(":"), part(5))).otherwise(bare)
+
+    v = F.replace(t.rewritten(stripped(time), [t.Rule(r'^"+|"+$', "")]), F.lit(";"), F.lit(":"))
+    return t.bound(t.rewritten(v, [t.Rule(r"\s+", " ")]), dated)
 
 
 def chat_time(c: Column) -> Column:
     """The instant of a transcript time, null if it has none of the three formats."""
-    c = stripped(c)
-    return F.coalesce(*[F.try_to_timestamp(F.when(t.found(c, r"^\d"), c), F.lit(f)) for f in t.TIME_FORMATS])
+    some = lambda c: F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in t.TIME_FORMATS])
+    return t.bound(stripped(c), lambda c: F.when(t.found(c, r"^\d"), some(c)))
 
 
 def minutes_apart(a: Column, b: Column) -> Column:
@@ -157,10 +171,12 @@ def same_day(a: Column, b: Column) -> Column:
 
 
 def is_ui(c: Column, substrings: tuple[str, ...], icons: str) -> Column:
-    m = stripped(c)
-    low = F.lower(m)
-    listed = reduce(lambda x, y: x | y, [F.contains(low, F.lit(s)) for s in substrings])
-    return (m == "") | is_date_or_time(m) | listed | t.found(low, rf"^(?:{icons}|[0o]{{2,4}}|[✓✔v]{{1,4}})$", True)
+    def shown(m: Column) -> Column:
+        low = F.lower(m)
+        listed = reduce(lambda x, y: x | y, [F.contains(low, F.lit(s)) for s in substrings])
+        return (m == "") | listed | t.found(low, rf"^(?:{icons}|[0o]{{2,4}}|[✓✔v]{{1,4}})$", True) | is_date_or_time(m)
+
+    return t.bound(stripped(c), shown)
 
 
 def is_noisy(c: Column) -> Column:
@@ -202,10 +218,15 @@ def style_score(c: Column) -> Column:
     return F.when(m == "", -20.0).otherwise(-artifact_penalty(m) - is_noisy(m).cast("double") * 5 - is_orphan(m).cast("double") * 2)
 
 
+def numbered(words: Column) -> Column:
+    """Words, each with the number of its copy: the common words of two texts, with multiplicity, are the common ones of these sets."""
+    copy = lambda s: F.transform(s, lambda w, k: F.concat(w, F.lit("#"), (k - F.array_position(s, w)).cast("string")))
+    return t.bound(F.array_sort(words), copy)
+
+
 def overlap(a: Column, b: Column) -> Column:
-    """Common words, with multiplicity, over the shorter text's words; a and b: arrays."""
-    common = F.aggregate(F.array_distinct(a), F.lit(0), lambda s, w: s + F.least(F.size(F.filter(a, lambda x: x == w)), F.size(F.filter(b, lambda x: x == w))))
-    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(common / F.least(F.size(a), F.size(b)))
+    """Common words, with multiplicity, over the shorter text's words; a and b: numbered() words."""
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / F.least(F.size(a), F.size(b)))
 
 
 def without_fences(c: Column) -> Column:

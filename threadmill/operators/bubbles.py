@@ -29,26 +29,31 @@ def _is_message(profile: PlatformProfile) -> Column:
     return F.col("pos").isin("LEFT", "RIGHT") & (text.stripped(c) != "") & ~text.is_ui(c, profile.ui_substrings, profile.icons) & ~text.is_date_or_time(c)
 
 
-def _side(weight: Column) -> list[Column]:
+def side_votes(weight: Column) -> list[Column]:
     """Votes for either side, by characters."""
     return [F.sum(F.when(F.col("pos") == s, F.greatest(F.lit(1), weight)).otherwise(0)).alias(s) for s in ("LEFT", "RIGHT")]
 
 
-def _joined() -> Column:
+def joined_text() -> Column:
+    """The blocks' texts in order of place."""
     return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*_PLACE, "text"))), lambda s: s["text"]), " ")
 
 
+def gap_limit(median_height: Column) -> Column:
+    """The gap from which blocks of one side are two bubbles."""
+    return F.greatest(F.lit(8), F.floor(F.floor(median_height) * 0.25))
+
+
 def geometric(blocks: DataFrame, profile: PlatformProfile) -> DataFrame:
     """Bubbles (ord from 0, side, text) told apart by a change of side or a gap to the block before."""
     dated = (text.is_date(F.col("text")) | t.found(F.col("text"), r"\b\d{1,2}[:.]\d{2}\b")) & (F.col("y") > 100)
     usable = _below(blocks, F.max(F.when(dated, F.col("y")))).filter(_is_message(profile))
     median = F.median(F.greatest(F.lit(1), F.col("h"))).over(Window.partitionBy(*SCREEN))
     order = Window.partitionBy(*SCREEN).orderBy(*_PLACE)
-    limit = F.greatest(F.lit(8), F.floor(F.floor("_median") * 0.25))
-    apart = (F.col("pos") != F.lag("pos").over(order)) | (F.col("y") - (F.lag("y").over(order) + F.lag("h").over(order)) > limit)
+    apart = (F.col("pos") != F.lag("pos").over(order)) | (F.col("y") - (F.lag("y").over(order) + F.lag("h").over(order)) > gap_limit(F.col("_median")))
     marked = usable.withColumn("_median", median).withColumn("_new", F.coalesce(apart, F.lit(False)).cast("int"))
     grouped = marked.withColumn("_group", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    made = grouped.groupBy(*SCREEN, "_group").agg(*_side(F.length("text")), text.spaced(_joined()).alias("text"))
+    made = grouped.groupBy(*SCREEN, "_group").agg(*side_votes(F.length("text")), text.spaced(joined_text()).alias("text"))
     ranked = made.filter("text <> ''").withColumn("ord", F.row_number().over(Window.partitionBy(*SCREEN).orderBy("_group")) - 1)
     side = F.when(F.col("LEFT") >= F.col("RIGHT"), "LEFT").otherwise("RIGHT").alias("side")
     return ranked.select(*SCREEN, F.lit("geom").alias("kind"), "ord", F.lit(None).cast("string").alias("hhmm"), side, F.lit(None).cast("double").alias("confidence"), "text")
@@ -62,7 +67,7 @@ def timed(blocks: DataFrame, profile: PlatformProfile) -> DataFrame:
     message = F.col("_time").isNull() & _is_message(profile)
     closer = F.max("_time").over(Window.partitionBy(*SCREEN, "_group"))
     rows = grouped.withColumn("_closer", closer).filter(message & F.col("_closer").isNotNull())
-    made = rows.groupBy(*SCREEN, "_group").agg(F.first("_closer").alias("hhmm"), *_side(F.length(text.stripped(F.col("text")))), _joined().alias("text"))
+    made = rows.groupBy(*SCREEN, "_group").agg(F.first("_closer").alias("hhmm"), *side_votes(F.length(text.stripped(F.col("text")))), joined_text().alias("text"))
     side = F.when(F.col("LEFT") >= F.col("RIGHT"), "LEFT").otherwise("RIGHT").alias("side")
     confidence = F.round(F.greatest("LEFT", "RIGHT") / (F.col("LEFT") + F.col("RIGHT")), 3).alias("confidence")
     ord_ = (F.row_number().over(Window.partitionBy(*SCREEN).orderBy("_group")) - 1).alias("ord")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..edge import perception, questions, splitting
 from ..model import PROFILES, SCHEMAS
-from ..operators import candidates, manifest, routing, sides, transcript
+from ..operators import bubbles, candidates, manifest, routing, sides, transcript
 from ..operators.blocks import SCREEN
 from ..sources import files as files_, side_csv, transcripts
 from . import screens
@@ -119,14 +119,15 @@ def seen_platform(images: DataFrame, edge: Edge) -> DataFrame:
 
 def second_looks(known: screens.Screens, drafts: DataFrame, pictures: DataFrame, profile, edge: Edge, polish: bool) -> DataFrame:
     """drafts with a repair for each screen that needs one and, with polish, a polished text for each screen with rows."""
-    expected = F.size("geometric" if profile.geometric else "timed")
-    normal = side_csv.write(sides.normalized(drafts, known.context, profile)).select(*SCREEN, F.col("content").alias("draft"))
-    every = drafts.select(*SCREEN).join(normal, list(SCREEN), "left").join(known.context.withColumn("expected", F.coalesce(expected, F.lit(0))), list(SCREEN)).join(pictures, "image_id")
-    needs = F.udf(lambda draft, n: candidates.needs_repair(draft or "", n), "boolean")
-    listed = every.select(*SCREEN, "draft", "expected", "allowed", "visible_date", "picture")
-    ask = lambda r: questions.repair_question(r["image_id"], r["screen_idx"], r["draft"] or "", "", list(r["allowed"] if r["allowed"] is not None else []), r["visible_date"] or "")
+    context = known.context.withColumn("expected", F.size("geometric" if profile.geometric else "timed"))
+    normal = sides.normalized(drafts, known.context, profile).filter("message <> ''")
+    needs = candidates.needing_repair(normal, drafts.select(*SCREEN).join(context, list(SCREEN)).select(*SCREEN, "expected"))
+    shown = side_csv.write(normal).select(*SCREEN, F.col("content").alias("draft"))
+    hints = bubbles.hints(known.bubbles.filter(F.col("kind") == ("geom" if profile.geometric else "timed")))
+    listed = needs.join(context, list(SCREEN)).join(shown, list(SCREEN), "left").join(hints, list(SCREEN), "left").join(pictures, "image_id").select(*SCREEN, "draft", "hints", "allowed", "visible_date", "picture")
+    ask = lambda r: questions.repair_question(r["image_id"], r["screen_idx"], r["draft"] or "", r["hints"] or "", list(r["allowed"]), r["visible_date"] or "")
     # Asked once, and kept: what chooses between the texts reads them again.
-    repairs = ask_about(listed.filter(needs("draft", "expected")), edge, "repair", ask).persist()
+    repairs = ask_about(listed, edge, "repair", ask).persist()
     out = drafts.unionByName(repairs)
     if polish:
         chosen = candidates.choose(side_csv.write(sides.normalized(out, known.context, profile)), known.context, profile.additive, profile.geometric)

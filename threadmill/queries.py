@@ -12,8 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from .edge import splitting
 from .functions import similarity, tables as t, text
-from .model import FACEBOOK, VIBER
+from .model import FACEBOOK, SCHEMAS, VIBER
 from .operators import blocks, bubbles, candidates, folds, manifest, routing, sidemap, sides, transcript
 from .sources import files, side_csv
 
@@ -352,28 +353,24 @@ def report_top1(spark, sf_dir):
 @query(f"""WITH {_PATHS} SELECT path, CASE WHEN page_id = 0 THEN 'case_report' WHEN ends_with(path, '.png') THEN 'candidate_image' ELSE 'ignored_report_candidate' END AS status,
     lower(regexp_extract(path, '(\\.[^.]+)$', 1)) AS extension, regexp_replace(regexp_replace(regexp_extract(path, '([^/]*)\\.[^.]*$', 1), '[^A-Za-z0-9._-]+', '_', 'g'), '_+', '_', 'g') AS stem FROM x""")
 def file_inventory(spark, sf_dir):
-    p = _paths(spark, sf_dir)
-    report = p.filter("page_id = 0").first()["path"]
-    listed = files.inventory(p.select(F.lit("pages").alias("source"), "path", F.col("path").alias("absolute_path")), report)
+    paths = _paths(spark, sf_dir).select(F.lit("pages").alias("source"), "path", F.col("path").alias("absolute_path"))
+    listed = files.inventory(paths, "Cases_Overview0.pdf")
     return listed.select("path", "status", "extension", files.safe_stem(F.col("path")).alias("stem"))
 
 
-@query(f"""WITH {_CHAT} SELECT image_id, side, CAST(sum(greatest(1, length(message))) AS BIGINT) AS votes FROM chat GROUP BY ALL""")
+@query(f"""WITH {_BLOCKS} SELECT image_id, CAST(sum(CASE WHEN pos = 'LEFT' THEN greatest(1, length(text)) ELSE 0 END) AS BIGINT) AS "LEFT", CAST(sum(CASE WHEN pos = 'RIGHT' THEN greatest(1, length(text)) ELSE 0 END) AS BIGINT) AS "RIGHT" FROM blocks GROUP BY image_id""")
 def side_vote_weights(spark, sf_dir):
-    c = chat(spark, sf_dir)
-    return c.groupBy("image_id", "side").agg(F.sum(F.greatest(F.lit(1), F.length("message"))).alias("votes"))
+    return screen_blocks(spark, sf_dir).groupBy("image_id").agg(*bubbles.side_votes(F.length("text")))
 
 
-@query(f"WITH {_CHAT} SELECT image_id, md5(string_agg(message, ' ' ORDER BY row_no)) AS digest FROM chat GROUP BY image_id")
+@query(f"WITH {_BLOCKS} SELECT image_id, md5(string_agg(text, ' ' ORDER BY y, x, block, line_no)) AS digest FROM blocks GROUP BY image_id")
 def concat_fragments(spark, sf_dir):
-    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_no", "message"))), lambda s: s["message"]), " ")
-    return chat(spark, sf_dir).groupBy("image_id").agg(F.md5(joined).alias("digest"))
+    return screen_blocks(spark, sf_dir).groupBy("image_id").agg(F.md5(bubbles.joined_text()).alias("digest"))
 
 
-@query("SELECT source, CAST(greatest(8, floor(floor(median(n_chars)) * 0.25)) AS BIGINT) AS gap FROM documents GROUP BY source")
+@query(f"WITH {_BLOCKS} SELECT image_id, pos, CAST(greatest(8, floor(floor(median(w)) * 0.25)) AS BIGINT) AS gap FROM blocks GROUP BY ALL")
 def median_gap_threshold(spark, sf_dir):
-    gap = F.greatest(F.lit(8), F.floor(F.floor(F.median("n_chars")) * 0.25)).cast("long")
-    return _table(spark, sf_dir, "documents").groupBy("source").agg(gap.alias("gap"))
+    return screen_blocks(spark, sf_dir).groupBy("image_id", "pos").agg(bubbles.gap_limit(F.median("w")).cast("long").alias("gap"))
 
 
 _UNDER = "(SELECT * FROM blocks WHERE y >= 250)"
@@ -438,21 +435,21 @@ def position_tags(spark, sf_dir):
     return b.select("image_id", "line_no", blocks.position(FACEBOOK, width).alias("facebook"), blocks.position_by_colour(VIBER, width, F.col("line_no") % 10 / 100).alias("viber"))
 
 
-@query("""WITH r AS (SELECT DISTINCT doc_id FROM labels), g AS (SELECT doc_id, doc_id - row_number() OVER (ORDER BY doc_id) AS grp FROM r)
-    SELECT min(doc_id) AS first, max(doc_id) + 1 AS stop FROM g GROUP BY grp""")
+@query("""WITH r AS (SELECT DISTINCT doc_id, doc_id // 1000 AS band FROM labels), g AS (SELECT band, doc_id % 1000 AS place, doc_id - row_number() OVER (PARTITION BY band ORDER BY doc_id) AS grp FROM r)
+    SELECT band, min(place) AS first, max(place) + 1 AS stop FROM g GROUP BY band, grp""")
 def consecutive_ranges(spark, sf_dir):
-    # Runs begin where the number before isn't there: an equi-join in place of one sorted window over all rows.
+    def runs(frame):
+        import numpy as np
+        import pandas as pd
+
+        flags = np.zeros(1000, bool)
+        flags[frame.at_] = True
+        return pd.DataFrame([(frame.band.iloc[0], *r) for r in splitting.runs(flags)], columns=["band", "first", "stop"])
+
+    # Labelled documents stand for the white rows of pictures of a thousand rows.
     ids = _table(spark, sf_dir, "labels").select("doc_id").distinct()
-    starts = ids.join(ids.select((F.col("doc_id") + 1).alias("doc_id")), "doc_id", "left_anti").select(F.col("doc_id").alias("first"))
-    stops = ids.select((F.col("doc_id") + 1).alias("doc_id")).join(ids, "doc_id", "left_anti").select(F.col("doc_id").alias("stop"))
-    # Within a block of numbers the k-th start belongs to the k-th stop; blocks are counted before they are numbered.
-    size = 1 << 20
-    marks = starts.select(F.col("first").alias("at"), F.lit(0).alias("kind")).union(stops.select(F.col("stop").alias("at"), F.lit(1)))
-    marks = marks.withColumn("block", F.floor(F.col("at") / size))
-    counts = marks.groupBy("block", "kind").agg(F.count("*").alias("n"))
-    before = counts.select("block", "kind", F.coalesce(F.sum("n").over(Window.partitionBy("kind").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    ranked = marks.withColumn("k", F.row_number().over(Window.partitionBy("block", "kind").orderBy("at"))).join(before, ["block", "kind"]).select("kind", "at", (F.col("k") + F.col("before")).alias("k"))
-    return ranked.filter("kind = 0").select("k", F.col("at").alias("first")).join(ranked.filter("kind = 1").select("k", F.col("at").alias("stop")), "k").drop("k")
+    bands = ids.select(F.floor(F.col("doc_id") / 1000).alias("band"), (F.col("doc_id") % 1000).alias("at_"))
+    return bands.groupBy("band").applyInPandas(runs, "band long, first long, stop long")
 
 
 @query("""WITH d AS (SELECT user_id, event_id, ts, CASE WHEN event_type = 'signup' THEN strftime(ts, '%d/%m/%Y') ELSE '' END AS shown FROM events)
@@ -598,14 +595,48 @@ def missing_bubbles(spark, sf_dir):
     return sides.missing_bubbles(made, rows).select("image_id", "ord", "side")
 
 
-@query(f"""WITH {_BUBBLES}, o AS (SELECT rw.image_id, rw.row_no, bw.ord, round({sql_overlap('r', 'b')}, 6) AS score FROM rw LEFT JOIN bw ON rw.image_id = bw.image_id AND rw.side = bw.side)
-    SELECT image_id, row_no, ord, score FROM o QUALIFY row_number() OVER (PARTITION BY image_id, row_no ORDER BY score DESC, ord) = 1""")
+def _with_bubbles(rows: DataFrame, made: DataFrame) -> DataFrame:
+    """Rows with their screen's bubbles, as the plans have them."""
+    screens = rows.select("image_id", "screen_idx").distinct().withColumns({"visible_date": F.lit(""), "default_year": F.lit(2026)})
+    times = rows.select("image_id", "screen_idx", text.hhmm(F.col("time_text")).alias("hhmm"))
+    return rows.join(sides.contexts(screens, made, times), ["image_id", "screen_idx"])
+
+
+@query(f"""WITH {_BUBBLES}, o AS (SELECT rw.image_id, rw.row_no, bw.ord, {sql_overlap('r', 'b')} AS score FROM rw JOIN bw ON rw.image_id = bw.image_id AND rw.side = bw.side),
+    m AS (SELECT * FROM o WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY image_id, row_no ORDER BY score DESC, ord) = 1)
+    SELECT image_id, row_no, m.ord, round(m.score, 6) AS score FROM rw LEFT JOIN m USING (image_id, row_no)""")
 def overlap_best_match(spark, sf_dir):
+    both = _with_bubbles(*_bubble_rows(spark, sf_dir))
+    found = both.withColumn("best", sides.best(sides.word_set(F.col("message")), F.col("geometric"), F.col("side")))
+    return found.select("image_id", "row_no", "best.bubble.ord", F.round("best.x", 6).alias("score"))
+
+
+@query(f"""WITH {_BUBBLES}, o AS (SELECT rw.image_id, rw.row_no, bw.side, {sql_overlap('r', 'b')} AS score, bw.ord FROM rw JOIN bw ON rw.image_id = bw.image_id WHERE len(r) >= 2),
+    m AS (SELECT * FROM o WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY image_id, row_no ORDER BY score DESC, ord) = 1)
+    SELECT image_id, row_no, CASE WHEN m.score >= 0.72 THEN m.side END AS side FROM rw LEFT JOIN m USING (image_id, row_no)""")
+def side_by_overlap(spark, sf_dir):
+    both = _with_bubbles(*_bubble_rows(spark, sf_dir))
+    return both.select("image_id", "row_no", sides.side_by_gaps(sides.word_set(F.col("message")), F.col("geometric")).alias("side"))
+
+
+def _closed(rows: DataFrame, made: DataFrame) -> DataFrame:
+    """The bubbles as timed ones: two turns share a time."""
+    return made.withColumns({"kind": F.lit("timed"), "hhmm": F.format_string("%02d:00", (F.floor(F.col("ord") / 2) % 24).cast("int")), "confidence": F.when(F.col("ord") % 5 == 0, 0.5).otherwise(1.0)})
+
+
+_WORDS_AS_SIDES_SEE = "list_distinct(list_filter(string_split(regexp_replace(regexp_replace(regexp_replace(lower({}), '\\b([a-z]+)''\\$', '\\1s', 'g'), '[|!]', 'i', 'g'), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: length(w) >= 2))"
+
+
+@query(f"""WITH {_BUBBLES}, t AS (SELECT image_id, ord, side, lpad(CAST(ord // 2 % 24 AS VARCHAR), 2, '0') || ':00' AS hhmm, {_WORDS_AS_SIDES_SEE.format('text')} AS w FROM bubbles WHERE ord % 5 <> 0),
+    m AS (SELECT image_id, row_no, lpad(CAST(row_no // 2 % 24 AS VARCHAR), 2, '0') || ':00' AS hhmm, {_WORDS_AS_SIDES_SEE.format('message')} AS w FROM rows),
+    s AS (SELECT m.image_id, m.row_no, t.side, t.ord, len(list_intersect(m.w, t.w)) * 100 + least(len(t.w), 99) AS n FROM m JOIN t USING (image_id, hhmm)),
+    b AS (SELECT image_id, row_no, side FROM s QUALIFY row_number() OVER (PARTITION BY image_id, row_no ORDER BY n DESC, ord) = 1)
+    SELECT image_id, row_no, b.side FROM m LEFT JOIN b USING (image_id, row_no)""")
+def side_by_time(spark, sf_dir):
     rows, made = _bubble_rows(spark, sf_dir)
-    r = rows.select("image_id", "row_no", "side", text.tokens(text.similarity_text(F.col("message"))).alias("r"))
-    b = made.select("image_id", "ord", "side", text.tokens(text.similarity_text(F.col("text"))).alias("b"))
-    both = r.join(b, ["image_id", "side"], "left").withColumn("score", F.round(text.overlap(F.col("r"), F.col("b")), 6))
-    return both.groupBy("image_id", "row_no").agg(F.max_by(F.struct("ord", "score"), F.struct("score", -F.col("ord"))).alias("best")).select("image_id", "row_no", "best.ord", "best.score")
+    hhmm = F.format_string("%02d:00", (F.floor(F.col("row_no") / 2) % 24).cast("int"))
+    both = _with_bubbles(rows, _closed(rows, made))
+    return both.select("image_id", "row_no", sides.side_by_time(F.col("message"), hhmm, F.col("timed"), 0.62).alias("side"))
 
 
 @query(f"""WITH {_BUBBLES}, o AS (SELECT rw.image_id, rw.row_no, bw.ord, {sql_overlap('r', 'b')} AS score FROM rw LEFT JOIN bw ON rw.image_id = bw.image_id AND rw.side = bw.side AND {sql_overlap('r', 'b')} >= 0.48),
@@ -613,33 +644,64 @@ def overlap_best_match(spark, sf_dir):
     SELECT image_id, row_no, row_number() OVER (PARTITION BY image_id ORDER BY ord IS NULL, coalesce(ord, row_no), row_no) AS place FROM m""")
 def visual_reorder(spark, sf_dir):
     rows, made = _bubble_rows(spark, sf_dir)
-    r = rows.select("image_id", "row_no", "side", text.tokens(text.similarity_text(F.col("message"))).alias("r"))
-    b = made.select("image_id", "ord", "side", text.tokens(text.similarity_text(F.col("text"))).alias("b"))
-    score = text.overlap(F.col("r"), F.col("b"))
-    hit = r.join(b, ["image_id", "side"]).filter(score >= 0.48).groupBy("image_id", "row_no").agg(F.max_by("ord", F.struct(score, -F.col("ord"))).alias("ord"))
-    every = r.join(hit, ["image_id", "row_no"], "left")
-    order = Window.partitionBy("image_id").orderBy(F.col("ord").isNull(), F.coalesce("ord", "row_no"), "row_no")
-    return every.select("image_id", "row_no", F.row_number().over(order).cast("long").alias("place"))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("row_no", "time_text", "side", "message"))), lambda r: sides.row(r["time_text"], r["side"], r["message"], row_no=r["row_no"]))
+    screens = _with_bubbles(rows, made).groupBy("image_id").agg(listed.alias("rows"), F.first("geometric").alias("geometric"))
+    placed = screens.select("image_id", F.posexplode(sides.in_visual_order(F.col("rows"), F.col("geometric"))).alias("k", "r"))
+    return placed.select("image_id", "r.row_no", (F.col("k") + 1).cast("long").alias("place"))
 
 
-@query(f"""WITH {_BUBBLES} SELECT a.image_id, a.row_no, b.ord FROM rw a JOIN bw b USING (image_id, side) WHERE len(b.b) >= 3 AND len(a.r) >= 6 AND contains(array_to_string(a.r, ' '), array_to_string(b.b, ' '))""")
-def containment_pairs(spark, sf_dir):
+#: Rows into which the next one of their side has run, against bubbles.
+_MERGED = f"""{_BUBBLES}, lined AS (SELECT image_id, row_no, side, message || ' ' || coalesce(lead(message) OVER (PARTITION BY image_id, side ORDER BY row_no), '') AS message FROM rows),
+    mw AS (SELECT *, {sql_words(sql_similarity('message'))} AS r FROM lined)"""
+
+
+def _merged_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     rows, made = _bubble_rows(spark, sf_dir)
-    r = rows.select("image_id", "row_no", "side", text.similarity_text(F.col("message")).alias("r"))
-    b = made.select("image_id", "ord", "side", text.similarity_text(F.col("text")).alias("b"))
-    both = r.join(b, ["image_id", "side"]).filter((F.size(text.tokens(F.col("b"))) >= 3) & (F.size(text.tokens(F.col("r"))) >= 6) & F.contains("r", "b"))
-    return both.select("image_id", "row_no", "ord")
+    following = F.lead("message").over(Window.partitionBy("image_id", "side").orderBy("row_no"))
+    return rows.withColumn("message", F.concat("message", F.lit(" "), F.coalesce(following, F.lit("")))), made
+
+
+@query(f"""WITH {_MERGED}, p AS (SELECT mw.image_id, mw.row_no, bw.ord, trim(bw.text) AS part, position(array_to_string(bw.b, ' ') IN array_to_string(mw.r, ' ')) AS place, len(bw.b) >= 4 AND {sql_overlap('mw.r', 'bw.b')} >= 0.92 AS alike
+      FROM mw JOIN bw ON mw.image_id = bw.image_id AND mw.side = bw.side WHERE len(bw.b) >= 3 AND len(mw.r) >= 6),
+    q AS (SELECT *, place > coalesce(max(place) OVER (PARTITION BY image_id, row_no ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS behind FROM p),
+    h AS (SELECT *, count(*) OVER (PARTITION BY image_id, row_no) AS n FROM q WHERE behind OR alike)
+    SELECT image_id, row_no, row_number() OVER (PARTITION BY image_id, row_no ORDER BY ord) - 1 AS part_no, md5(part) AS digest FROM h WHERE n >= 2
+    UNION ALL SELECT image_id, row_no, 0, md5(message) FROM mw WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.image_id = mw.image_id AND h.row_no = mw.row_no AND h.n >= 2)""")
+def containment_pairs(spark, sf_dir):
+    both = _with_bubbles(*_merged_rows(spark, sf_dir))
+    parts = sides.split_by_gaps(F.col("message"), F.col("side"), F.col("geometric"), FACEBOOK)
+    return both.select("image_id", "row_no", F.posexplode(parts).alias("k", "part")).select("image_id", "row_no", F.col("k").cast("long").alias("part_no"), F.md5("part").alias("digest"))
+
+
+_HELD = f"(contains(array_to_string(r, ' '), array_to_string(b, ' ')) OR {sql_overlap('r', 'b')} >= {{}})"
+
+
+@query(f"""WITH {_MERGED}, tw AS (SELECT *, lpad(CAST(ord // 2 % 24 AS VARCHAR), 2, '0') || ':00' AS hhmm FROM bw), mt AS (SELECT *, lpad(CAST(row_no // 2 % 24 AS VARCHAR), 2, '0') || ':00' AS hhmm FROM mw),
+    p AS (SELECT mt.image_id, mt.row_no, r, b, ord, text, mt.hhmm = tw.hhmm AS here FROM mt JOIN tw ON mt.image_id = tw.image_id AND mt.side = tw.side WHERE len(r) >= 9),
+    c AS (SELECT *, count(*) FILTER (here) OVER (PARTITION BY image_id, row_no) AS n_here, count(*) FILTER ({_HELD.format(0.86)}) OVER (PARTITION BY image_id, row_no) AS n_held FROM p),
+    s AS (SELECT * FROM c WHERE CASE WHEN n_here >= 2 THEN here ELSE n_held >= 2 AND {_HELD.format(0.86)} END),
+    h AS (SELECT *, count(*) OVER w AS n, bool_or({sql_noisy('text')}) OVER w AS noisy FROM s WHERE len(b) >= 3 AND {_HELD.format(0.90)} WINDOW w AS (PARTITION BY image_id, row_no))
+    SELECT image_id, row_no, row_number() OVER (PARTITION BY image_id, row_no ORDER BY ord) - 1 AS part_no, ord, md5(trim(text)) AS digest FROM h WHERE n >= 2 AND NOT noisy
+    UNION ALL SELECT image_id, row_no, 0, NULL, md5(message) FROM mw WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.image_id = mw.image_id AND h.row_no = mw.row_no AND n >= 2 AND NOT noisy)""")
+def split_by_time(spark, sf_dir):
+    rows, made = _merged_rows(spark, sf_dir)
+    hhmm = F.format_string("%02d:00", (F.floor(F.col("row_no") / 2) % 24).cast("int"))
+    parts = sides.split_by_time(F.col("message"), hhmm, F.col("side"), F.col("timed"), VIBER)
+    both = _with_bubbles(rows, _closed(rows, made)).select("image_id", "row_no", F.posexplode(parts).alias("k", "p"))
+    return both.select("image_id", "row_no", F.col("k").cast("long").alias("part_no"), "p.bubble.ord", F.md5("p.message").alias("digest"))
 
 
-@query("""WITH people AS (SELECT s_suppkey AS ord, s_name AS name FROM supplier), head AS (SELECT n_nationkey AS image_id, 'Chat with ' || n_name || ' and supplier#' || lpad(CAST(n_nationkey AS VARCHAR), 9, '0') || ' 0' || CAST(n_nationkey % 10 AS VARCHAR) || '555' AS header FROM nation),
+@query("""WITH people AS (SELECT n_nationkey AS ord, n_name AS name FROM nation), head AS (SELECT s_suppkey AS image_id, 'Chat with ' || s_name || ' of ' || n_name || ' 0' || CAST(s_suppkey % 10 AS VARCHAR) || '555' AS header FROM supplier JOIN nation ON s_nationkey = n_nationkey),
     s AS (SELECT CAST(image_id AS VARCHAR) AS image_id, name, ord, CASE WHEN contains(lower(header), lower(name)) THEN 10 ELSE 0 END + CASE WHEN contains(regexp_replace(header, '\\D+', '', 'g'), CAST(ord % 10 AS VARCHAR) || '555') THEN 20 ELSE 0 END AS score FROM head, people)
     SELECT image_id, name, score FROM s WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY image_id ORDER BY score DESC, ord) = 1""".replace("\\\\", "\\"))
 def header_match(spark, sf_dir):
-    people = _table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("int").alias("ord"), F.col("s_name").alias("name"), F.array(F.concat((F.col("s_suppkey") % 10).cast("string"), F.lit("-555"))).alias("contact_numbers"))
-    k = F.col("n_nationkey")
-    header = F.concat(F.lit("Chat with "), F.col("n_name"), F.lit(" and supplier#"), F.lpad(k.cast("string"), 9, "0"), F.lit(" 0"), (k % 10).cast("string"), F.lit("555"))
-    b = _table(spark, sf_dir, "nation").select(k.cast("string").alias("image_id"), F.lit(1).alias("screen_idx"), F.lit(0).alias("line_no"), F.lit(50).alias("y"), header.alias("text"))
-    return sidemap.header_match(b, people)
+    # A report's people are few: the nations, of which there are 25 at every scale.
+    nations = _table(spark, sf_dir, "nation")
+    people = nations.select(F.col("n_nationkey").cast("int").alias("ord"), F.col("n_name").alias("name"), F.array(F.concat((F.col("n_nationkey") % 10).cast("string"), F.lit("-555"))).alias("contact_numbers"))
+    k = F.col("s_suppkey")
+    header = F.concat(F.lit("Chat with "), "s_name", F.lit(" of "), "n_name", F.lit(" 0"), (k % 10).cast("string"), F.lit("555"))
+    suppliers = _table(spark, sf_dir, "supplier").join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+    return sidemap.header_match(suppliers.select(k.cast("string").alias("image_id"), F.lit(1).alias("screen_idx"), F.lit(0).alias("line_no"), F.lit(50).alias("y"), header.alias("text")), people)
 
 
 _REPORT_TEXT = "'VICTIM / COMPLAINANT:' || chr(10) || 'Full Name: ' || c_name || ' (private)' || chr(10) || 'Suspect 1: Alias ' || c_custkey || chr(10) || 'reach +1 (555) 010-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0') || chr(10) || 'Suspect 2: ' || c_mktsegment || chr(10) || '2. BACKGROUND since 2019'"
@@ -671,15 +733,24 @@ def side_csv_sink(spark, sf_dir):
     return side_csv.write(chat(spark, sf_dir)).select("image_id", F.md5("content").alias("digest"))
 
 
-@query(f"""WITH {_CHAT}, p AS (SELECT image_id, row_no, message AS a, CASE row_no % 3 WHEN 0 THEN message || '.' WHEN 1 THEN left(message, CAST(length(message) // 3 AS INT)) ELSE message END AS b FROM chat)
-    SELECT image_id, bool_and(length(trim(b)) >= greatest(1, length(trim(a))) * 0.55 AND length(trim(b)) <= greatest(1, length(trim(a))) * 1.65 AND ({sql_noisy('a')} OR NOT {sql_noisy('b')})) AS passes FROM p GROUP BY image_id""")
+@query(f"""WITH {_CHAT}, r AS (SELECT * FROM chat WHERE side <> 'CENTER' AND trim(message) <> ''), p AS (SELECT image_id, row_no, min(row_no) OVER (PARTITION BY image_id) AS first, CAST(image_id AS INT) % 4 AS way, trim(message) AS a FROM r),
+    q AS (SELECT image_id, way, a, CASE WHEN row_no = first AND way = 1 THEN left(a, CAST(length(a) // 3 AS INT)) ELSE a || '.' END AS b FROM p WHERE NOT (way = 2 AND row_no = first))
+    SELECT image_id, CAST(way AS INT) AS way, way <> 2 AND coalesce(bool_and(length(trim(b)) >= 0.55 * length(a) AND length(trim(b)) <= 1.65 * length(a) AND ({sql_noisy('a')} OR NOT {sql_noisy('b')})), true) AS polished
+    FROM (SELECT DISTINCT image_id, way FROM p) LEFT JOIN q USING (image_id, way) GROUP BY image_id, way""")
 def polish_guard(spark, sf_dir):
-    n = F.col("row_no") % 3
-    b = F.when(n == 0, F.concat("message", F.lit("."))).when(n == 1, F.substring(F.col("message"), F.lit(1), F.floor(F.length("message") / 3).cast("int"))).otherwise(F.col("message"))
-    p = chat(spark, sf_dir).select("image_id", F.col("message").alias("a"), b.alias("b"))
-    size, other = F.greatest(F.lit(1), F.length(text.stripped(F.col("a")))), F.length(text.stripped(F.col("b")))
-    ok = (other >= size * 0.55) & (other <= size * 1.65) & (text.is_noisy(F.col("a")) | ~text.is_noisy(F.col("b")))
-    return p.groupBy("image_id").agg(F.bool_and(ok).alias("passes"))
+    rows = chat(spark, sf_dir).filter("side <> 'CENTER' AND trim(message) <> ''").withColumn("message", F.trim("message"))
+    first = F.col("row_no") == F.min("row_no").over(Window.partitionBy("image_id"))
+    way = F.col("image_id").cast("int") % 4
+    # A third of a message, a row left out, a side turned round: the first two are no polish, the last one isn't taken over.
+    third = F.substring(F.col("message"), F.lit(1), F.floor(F.length("message") / 3).cast("int"))
+    other = F.when(F.col("side") == "LEFT", "RIGHT").otherwise("LEFT")
+    polish = rows.withColumn("_first", first).filter(~((way == 2) & F.col("_first")))
+    polish = polish.withColumns({"candidate": F.lit("polish"), "message": F.when((way == 1) & F.col("_first"), third).otherwise(F.concat("message", F.lit("."))), "side": F.when((way == 3) & F.col("_first"), other).otherwise(F.col("side"))}).drop("_first")
+    drafts = side_csv.write(rows)
+    none = _with_bubbles(rows, spark.createDataFrame([], SCHEMAS["bubble"])).select("image_id", "screen_idx", "visible_date", "default_year", "timed", "geometric", "allowed").distinct()
+    chosen = candidates.choose(drafts.unionByName(side_csv.write(polish)), none, False, False)
+    both = chosen.join(drafts.select("image_id", F.col("content").alias("draft")), "image_id")
+    return both.select("image_id", way.alias("way"), (F.col("content") != F.col("draft")).alias("polished"))
 
 
 # ---- What SQL can't express; tests hold these against plain versions. ----

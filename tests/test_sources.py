@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from threadmill import cli
 from threadmill.edge import perception, questions, splitting
 from threadmill.functions import text
-from threadmill.model import SCHEMAS
+from threadmill.model import PROFILES, SCHEMAS
 from threadmill.operators import routing
 from threadmill.plans import package
 from threadmill.sources import files, side_csv, transcripts
@@ -158,9 +158,44 @@ def test_package_to_transcript(spark, tmp_path):
         '"13/03/2026 10:15","Dana Example","Robin Sample","good morning to you all"\n'
     )
     manifest = json.loads((tmp_path / "out/merged/pkg_manifest.json").read_text())
+    own = {p.parent.name: p.read_text("utf-8-sig") for p in (tmp_path / "out/images").glob("stem=*/*.txt")}
+    assert own == {"stem=1": '"Time","Sender","Receiver","Message"\n' + "".join(x + "\n" for x in got.split("\n")[1:3]), "stem=2": "\n".join([*got.split("\n")[:1], got.split("\n")[3], ""])}
     assert manifest["counts"] == {"files_seen": 5, "candidate_images": 4, "processed_images": 2, "skipped_images": 1, "failed_images": 1} and manifest["rows_merged"] == 3
 
 
+class Asked(Answers):
+    """Knows a date and the sides where nothing on screen tells them; remembers what it was told of a screen."""
+
+    def ask(self, prompt, image=None):
+        if prompt == questions.date_question():
+            return "14/03/2026"
+        if "Who writes on the left" in prompt:
+            assert "Known people: Robin Sample, Dana Example." in prompt and "LEFT: numbers" in prompt
+            return '{"LEFT": "Dana Example", "RIGHT": "Robin Sample"}' if "hello" in prompt else "who knows"
+        if prompt.startswith("transcript"):
+            assert "bubble 1" in prompt
+            return 'Time,Side,Message\n10:15,LEFT,"hello are you there"\n10:16,LEFT,"mine at last it is"'
+        return ""
+
+
+def test_models_are_asked_for_what_no_picture_shows(spark, tmp_path):
+    shown = picture("60 420 420 44 hello are you there", "500 600 200 40 mine at last it is")
+    unknown = picture("60 420 420 44 somebody else writes here", "500 600 200 40 and another one replies")
+    path = archive(tmp_path / "p.zip", {"Cases_Overview.txt": REPORT, "facebook/1.png": shown, "facebook/a/1.png": unknown})
+    assert cli.main([path, "-o", str(tmp_path / "out")], spark, package.Edge(model=Asked)) == 0
+    assert (tmp_path / "out/merged/p_transcript.csv").read_text().split("\n")[1:3] == ['"14/03/2026 10:15","Dana Example","Robin Sample","hello are you there"', '"14/03/2026 10:16","Robin Sample","Dana Example","mine at last it is"']
+    items = json.loads((tmp_path / "out/merged/p_manifest.json").read_text())["items"]
+    assert [(i["status"], i["reason"][:15]) for i in sorted(items, key=lambda i: i["image"])] == [("ok", ""), ("failed", "sides not known")]
+
+
+def test_sides_of_blocks_in_a_picture():
+    picture = np.full((800, 400, 3), 255, np.uint8)
+    picture[290:330, 20:120] = (200, 60, 120)  # BGR: a purple bubble on the left
+    at = lambda x, y, w, text: package._pos(perception.Block(x, y, w, 40, 1.0, text), picture, PROFILES["viber"])
+    assert at(60, 590, 140, "mine all the same") == "RIGHT" and at(60, 1000, 140, "theirs") == "LEFT" and at(500, 1000, 140, "mine") == "RIGHT"
+    assert at(300, 590, 200, "March 12, 2026") == "CENTER" and at(20, 590, 80, "10:15") == "LEFT"
+
+
 def test_package_exit_codes(spark, tmp_path):
     assert cli.main([archive(tmp_path / "noimg.zip", {"report.txt": REPORT}), "-o", str(tmp_path / "a")], spark, edge()) == 3
     assert (tmp_path / "a/merged/noimg_manifest.json").exists()

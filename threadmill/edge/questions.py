@@ -32,6 +32,10 @@ def sides_question(evidence: str, people: list[str]) -> str:
     return f'Known people: {", ".join(people)}.\n{evidence}\nWho writes on the left, who on the right? Answer with JSON only: {{"LEFT": "...", "RIGHT": "..."}}.'
 
 
+def sides_evidence(side: str, phones: list[str], texts: list[str]) -> str:
+    return f"{side}: numbers {', '.join(phones) or 'none'}; texts {' | '.join(texts) or 'none'}"
+
+
 def sides_answer(text: str) -> tuple[str, str]:
     """Left and right name; blank or equal names are an error."""
     data = json.loads(plain.json_part(text))

@@ -43,10 +43,11 @@ class PlatformProfile(NamedTuple):
     geometric: bool  # whether bubbles are told apart by gaps (else by the times that close them)
     additive: bool  # whether a repair may add rows to a draft
     purple_right_from: float | None
+    asks_date: bool  # whether a model is asked for the date of a screen that shows none
 
 
-FACEBOOK = PlatformProfile("facebook", t.UI_FACEBOOK, t.ICONS_FACEBOOK, 0.30, 0.35, 80, False, False, False, 0.62, 6, 0.92, 2, True, True, None)
-VIBER = PlatformProfile("viber", t.UI_VIBER, t.ICONS_VIBER, 0.25, 0.22, None, True, True, True, 0.0, 9, 0.90, 4, False, False, 0.065)
+FACEBOOK = PlatformProfile("facebook", t.UI_FACEBOOK, t.ICONS_FACEBOOK, 0.30, 0.35, 80, False, False, False, 0.62, 6, 0.92, 2, True, True, None, True)
+VIBER = PlatformProfile("viber", t.UI_VIBER, t.ICONS_VIBER, 0.25, 0.22, None, True, True, True, 0.0, 9, 0.90, 4, False, False, 0.065, False)
 PROFILES = {p.name: p for p in (FACEBOOK, VIBER)}
 
 #: Rows above this are a screen's top where no date shows where messages begin, and rows above HEADER its header.

@@ -23,10 +23,14 @@ class Screens(NamedTuple):
     context: DataFrame
 
 
-def evidence(ocr_text: DataFrame, report: DataFrame, profile: PlatformProfile, width: Column | None = None) -> Screens:
-    """report has one row (report_id, text). With a width, sides of blocks are settled anew by visual lines."""
+def evidence(ocr_text: DataFrame, report: DataFrame, profile: PlatformProfile, width: Column | None = None, widths: DataFrame | None = None) -> Screens:
+    """report has one row (report_id, text). With a width, or widths (image_id, screen_idx, width), sides of blocks are settled
+    anew by visual lines."""
     parsed = blocks_.parse(ocr_text)
-    if width is not None:
+    if widths is not None:
+        wide = parsed.join(widths.withColumnRenamed("width", "_screen_width"), list(SCREEN))
+        parsed = blocks_.refine(wide, profile, F.col("_screen_width")).drop("_screen_width")
+    elif width is not None:
         parsed = blocks_.refine(parsed, profile, width)
     year = F.broadcast(report.limit(1).select(text.report_year(F.col("text")).alias("default_year")))
     with_year = parsed.crossJoin(year)

@@ -62,3 +62,12 @@ def write_parts(transcript: DataFrame, path: str) -> None:
     """The same rows as a folder of CSV parts in order, written by executors."""
     renamed = transcript.orderBy("seq").select(*[F.col(c.lower() if c != "Time" else "time_text").alias(c) for c in COLUMNS])
     renamed.write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def write_images(rows: DataFrame, path: str) -> None:
+    """A CSV file for each image (stem), with a mark, below path/stem=...: rows in order of row_no, written by executors."""
+    quoted = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"')) for c in ("time_text", "sender", "receiver", "message")])
+    lines = F.transform(F.array_sort(F.collect_list(F.struct("row_no", quoted.alias("line")))), lambda s: s["line"])
+    header = ",".join(f'"{c}"' for c in COLUMNS)
+    content = F.concat(F.lit("\ufeff"), F.array_join(F.concat(F.array(F.lit(header)), lines), "\n"))
+    rows.groupBy("stem").agg(content.alias("value")).write.mode("overwrite").partitionBy("stem").text(path)

@@ -112,16 +112,21 @@ def csv_of(*rows):
     return side_csv.text_of(rows)
 
 
-def context(spark, timed=(), geometric=(), allowed=(), date="01/02/2026"):
-    """One screen's context from (side, text, hhmm) of its bubbles."""
-    made = [("a", 1, kind, k, hhmm, side, None, text) for kind, some in (("timed", timed), ("geom", geometric)) for k, (side, text, hhmm) in enumerate(some)]
-    screens = spark.createDataFrame([("a", 1, date, 2026)], "image_id string, screen_idx int, visible_date string, default_year int")
-    return sides.contexts(screens, spark.createDataFrame(made, SCHEMAS["bubble"]), spark.createDataFrame([("a", 1, h) for h in allowed], SCHEMAS["allowed_time"]))
-
-
-def normalized(spark, profile, content, **known):
-    got = sides.normalized(spark.createDataFrame([("a", 1, "draft", content)], SCHEMAS["side_csv_text"]), context(spark, **known), profile)
-    return [tuple(r) for r in got.orderBy("row_no").select("time_text", "side", "message").collect()]
+def normalized(spark, profile, cases):
+    """Rows of each case (content, and what is known of its screen: bubbles as side, text, hhmm), all in one run."""
+    made, screens, times, texts = [], [], [], []
+    for name, (content, known) in cases.items():
+        for kind in ("timed", "geom"):
+            made += [(name, 1, kind, k, hhmm, side, None, text) for k, (side, text, hhmm) in enumerate(known.get(kind, ()))]
+        screens.append((name, 1, known.get("date", "01/02/2026"), 2026))
+        times += [(name, 1, h) for h in known.get("allowed", ())]
+        texts.append((name, 1, "draft", content))
+    frame = spark.createDataFrame
+    context = sides.contexts(frame(screens, "image_id string, screen_idx int, visible_date string, default_year int"), frame(made, SCHEMAS["bubble"]), frame(times, SCHEMAS["allowed_time"]))
+    out = {name: [] for name in cases}
+    for r in sides.normalized(frame(texts, SCHEMAS["side_csv_text"]), context, profile).orderBy("image_id", "row_no").collect():
+        out[r.image_id].append((r.time_text, r.side, r.message))
+    return out
 
 
 GAPS = (("LEFT", "Where are you going my friend", None), ("RIGHT", "to the market for bread", None), ("LEFT", "bring some milk as well", None))
@@ -130,42 +135,53 @@ AT = "01/02/2026 10:15"
 
 def test_rows_against_bubbles_told_apart_by_gaps(spark):
     rows = csv_of(("10:15", "RIGHT", "where are you going my friend"), ("10:15", "OUTGOING", "to the market for bread"), ("later", "LEFT", "no time"))
-    assert normalized(spark, FACEBOOK, rows, geometric=GAPS, allowed=("10:15",)) == [(AT, "LEFT", "where are you going my friend"), (AT, "RIGHT", "to the market for bread"), (AT, "LEFT", "bring some milk as well")]
-    merged = csv_of(("10:15", "LEFT", "where are you going my friend and bring some milk as well"))
+    order = (("LEFT", "first of all these", None), ("LEFT", "second of all those", None))
+    got = normalized(
+        spark,
+        FACEBOOK,
+        {
+            "sides": (rows, {"geom": GAPS, "allowed": ("10:15",)}),
+            "merged": (csv_of(("10:15", "LEFT", "where are you going my friend and bring some milk as well")), {"geom": GAPS}),
+            "broken": (csv_of(("10:15", "LEFT", "where are you going my friend yoU")), {"geom": GAPS[:1]}),
+            "none": (csv_of(("10:15", "LEFT", "Seen")), {"geom": GAPS}),
+            "few": (csv_of(("10:15", "LEFT", "we go to town"), ("10:15", "LEFT", "to town"), ("10:15", "RIGHT", "to town"), ("10:15", "LEFT", "we go to town")), {}),
+            "again": (rows, {"geom": (*GAPS, ("LEFT", "bring some milk as well please", None))}),
+            "unclosed": ('"unclosed', {"geom": GAPS}),
+            "empty": ("", {"geom": GAPS}),
+            "order": (csv_of(("10:15", "LEFT", "nothing alike"), ("10:15", "LEFT", "second of all those"), ("10:15", "LEFT", "first of all these")), {"geom": order}),
+        },
+    )
+    assert got["sides"] == [(AT, "LEFT", "where are you going my friend"), (AT, "RIGHT", "to the market for bread"), (AT, "LEFT", "bring some milk as well")]
     # Each part takes the side of its row; what no row covers is added and stands where its bubble does.
-    assert normalized(spark, FACEBOOK, merged, geometric=GAPS) == [(AT, "LEFT", GAPS[0][1]), (AT, "RIGHT", GAPS[1][1]), (AT, "LEFT", GAPS[2][1])]
+    assert got["merged"] == [(AT, side, text) for side, text, _ in GAPS]
     # A broken start in lower case is repaired from the bubble that says the same.
-    broken = csv_of(("10:15", "LEFT", "where are you going my friend yoU"))
-    assert normalized(spark, FACEBOOK, broken, geometric=GAPS[:1]) == [(AT, "LEFT", "Where are you going my friend")]
-    assert normalized(spark, FACEBOOK, csv_of(("10:15", "LEFT", "Seen")), geometric=GAPS) == []  # nothing is added to no rows
-    few = csv_of(("10:15", "LEFT", "we go to town"), ("10:15", "LEFT", "to town"), ("10:15", "RIGHT", "to town"), ("10:15", "LEFT", "we go to town"))
-    assert normalized(spark, FACEBOOK, few) == [(AT, "LEFT", "we go to town"), (AT, "RIGHT", "to town")]
-    # An added bubble takes the place of others like it.
-    again = (*GAPS, ("LEFT", "bring some milk as well please", None))
-    assert len(normalized(spark, FACEBOOK, rows, geometric=again)) == 3
-    assert normalized(spark, FACEBOOK, '"unclosed', geometric=GAPS) == normalized(spark, FACEBOOK, "", geometric=GAPS) == []
+    assert got["broken"] == [(AT, "LEFT", "Where are you going my friend")]
+    assert got["none"] == got["unclosed"] == got["empty"] == []  # nothing is added to no rows
+    assert got["few"] == [(AT, "LEFT", "we go to town"), (AT, "RIGHT", "to town")]
+    assert len(got["again"]) == 3  # a bubble that was added covers others like it
+    assert [m for *_, m in got["order"]] == ["first of all these", "second of all those", "nothing alike"]
 
 
 def test_rows_against_bubbles_closed_by_times(spark):
     timed = (("LEFT", "Good morning to you all", "10:15"), ("RIGHT", "and to you my friend", "10:16"))
-    rows = csv_of(("10:16", "LEFT", "and to you my friend"), ("10:99", "LEFT", "x y"), ("12:00", "LEFT", "not visible"))
-    want = [(AT, "LEFT", "Good morning to you all"), ("01/02/2026 10:16", "RIGHT", "and to you my friend")]
-    assert normalized(spark, VIBER, rows, timed=timed, allowed=("10:15", "10:16")) == want
-    assert normalized(spark, VIBER, "", timed=timed) == [(AT, "LEFT", "Good morning to you all"), ("01/02/2026 10:16", "RIGHT", "And to you my friend".replace("And", "and"))]
-    # Of several bubbles at one time the words decide on the side.
-    both = (("LEFT", "one two three four", "10:15"), ("RIGHT", "five six seven eight", "10:15"))
-    assert normalized(spark, VIBER, csv_of(("10:15", "LEFT", "five six seven")), timed=both[1:] + both[:1])[0][1:] == ("RIGHT", "five six seven")
-    # A merged row becomes the bubbles of its time.
+    both = (("RIGHT", "five six seven eight", "10:15"), ("LEFT", "one two three four", "10:15"))
     same = (("LEFT", "one two three four", "10:15"), ("LEFT", "five six seven eight", "10:15"))
     merged = csv_of(("10:15", "LEFT", "one two three four five six seven eight nine"))
-    assert normalized(spark, VIBER, merged, timed=same) == [(AT, "LEFT", "one two three four"), (AT, "LEFT", "five six seven eight")]
-    assert normalized(spark, VIBER, merged, timed=same, date="") == []  # no date, so no full time
-
-
-def test_visual_order_puts_unmatched_rows_last(spark):
-    g = (("LEFT", "first of all these", None), ("LEFT", "second of all those", None))
-    made = csv_of(("10:15", "LEFT", "nothing alike"), ("10:15", "LEFT", "second of all those"), ("10:15", "LEFT", "first of all these"))
-    assert [m for *_, m in normalized(spark, FACEBOOK, made, geometric=g)] == ["first of all these", "second of all those", "nothing alike"]
+    got = normalized(
+        spark,
+        VIBER,
+        {
+            "sides": (csv_of(("10:16", "LEFT", "and to you my friend"), ("10:99", "LEFT", "x y"), ("12:00", "LEFT", "not visible")), {"timed": timed, "allowed": ("10:15", "10:16")}),
+            "missing": ("", {"timed": timed}),
+            "words": (csv_of(("10:15", "LEFT", "five six seven")), {"timed": both}),
+            "merged": (merged, {"timed": same}),
+            "undated": (merged, {"timed": same, "date": ""}),
+        },
+    )
+    assert got["sides"] == got["missing"] == [(AT, "LEFT", "Good morning to you all"), ("01/02/2026 10:16", "RIGHT", "and to you my friend")]
+    assert got["words"][0][1:] == ("RIGHT", "five six seven")  # of several bubbles at one time the words decide
+    assert got["merged"] == [(AT, "LEFT", "one two three four"), (AT, "LEFT", "five six seven eight")]  # the bubbles of its time
+    assert got["undated"] == []  # no date, so no full time
 
 
 def test_candidates():

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from .common import stored, to_batch
 LENGTH = 50
 PIECE = 20
 #: Text for one shard, in bytes; the number of shards follows the input.
-SHARD_BYTES = 12_000_000
+SHARD_BYTES = 1_000_000
 #: Text whose segments a task sends on together, in bytes.
 SEND_BYTES = 12_000_000
 #: Text that is hashed together, in bytes.
@@ -34,7 +35,7 @@ HASHED_BYTES = 1_500_000
 #: Segments of a piece, in one parcel (different ones) or after they have met, from which it is hot.
 SENT_HOT, MET_HOT = 500, 20_000
 #: Text to sort in one shard, in bytes; the number of these shards follows what there is to sort.
-SORT_BYTES = 12_000_000
+SORT_BYTES = 1_000_000
 #: Text of whole pieces in one suffix array, in bytes: it takes some hundred bytes for each of the text.
 ARRAY_BYTES = 2_000_000
 #: Strings that a task cuts out and deals on together, and segments whose bytes are compared at once.
@@ -201,40 +202,40 @@ def segments(buffers: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return d, first - (ends - size)[d], count, value[first] * _U(0x2545F4914F6CDD1D), contents * _U(0x9FB21C651E98DF25)
 
 
-def _packed(columns: dict[str, np.ndarray]) -> bytes:
-    """Columns as planes of bytes, compressed: high bytes of small or sorted numbers take hardly any room."""
+@lru_cache(1)
+def _zstd():
+    """Compressor and decompressor of this process: making them takes longer than a small table."""
     import zstandard
 
-    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
+
+
+def _packed(columns: dict[str, np.ndarray], more: bytes = b"") -> bytes:
+    """Columns as planes of bytes, and more, compressed: high bytes of small or sorted numbers take hardly any room."""
     n = len(next(iter(columns.values())))
-    out = [np.array([n], "<u8").tobytes()]
-    for c in columns.values():
-        planes = np.ascontiguousarray(c).view(np.uint8).reshape(n, c.dtype.itemsize).T
-        part = squeeze(np.ascontiguousarray(planes).tobytes())
-        out += np.array([len(part)], "<u8").tobytes(), part
-    return b"".join(out)
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(n, c.dtype.itemsize).T.tobytes() for c in columns.values()]
+    return n.to_bytes(8, "little") + _zstd()[0](b"".join([*planes, more]))
 
 
 def _unpacked(data: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
-    import zstandard
-
-    n, at, out = int(np.frombuffer(data, "<u8", 1)[0]), 8, {}
+    """Columns, and in "" what was packed with them."""
+    n, at, out = int.from_bytes(data[:8], "little"), 0, {}
+    raw = np.frombuffer(_zstd()[1](data[8:]), np.uint8)
     for name, kind in kinds.items():
-        size = int(np.frombuffer(data, "<u8", 1, at)[0])
-        planes = np.frombuffer(zstandard.decompress(data[at + 8 : at + 8 + size]), np.uint8).reshape(np.dtype(kind).itemsize, n)
-        out[name] = np.ascontiguousarray(planes.T).view(kind)[:, 0] if n else np.zeros(0, kind)
-        at += 8 + size
-    return out
+        size = np.dtype(kind).itemsize
+        out[name] = np.ascontiguousarray(raw[at : at + n * size].reshape(size, n).T).view(kind)[:, 0] if n else np.zeros(0, kind)
+        at += n * size
+    return out | {"": raw[at:]}
 
 
-def _joined(blobs: Iterable[bytes], kinds: dict[str, str]) -> dict[str, np.ndarray]:
+def _joined(blobs: Iterable[bytes], kinds: dict[str, str], more: bool = False) -> dict[str, np.ndarray]:
     parts = [_unpacked(b, kinds) for b in blobs]
-    return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kinds[k]) for k in kinds}
+    return {k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, kinds.get(k, "u1")) for k in (*kinds, *[""] * more)}
 
 
 #: by: doc_id with the largest number for null; text: the text's hash, which tells rows of one doc_id apart.
 _SEG = {"piece": "<u8", "by": "<i8", "text": "<i8", "start": "<u4", "count": "u1", "hot": "u1"}
-_SPANS = {"start": "<u4", "count": "<u4"}
+_SPANS = np.dtype([("start", "<u4"), ("count", "<u4")])
 _FOUND = pa.schema([("by", pa.int64()), ("text", pa.int64()), ("kind", pa.int32()), ("content", pa.binary()), ("n_bytes", pa.int64())])
 _FOUND_SQL = "by long, text long, kind int, content binary, n_bytes long"
 _REMOVED, _UNSURE = 0, 1
@@ -243,24 +244,18 @@ _REMOVED, _UNSURE = 0, 1
 def _grouped(columns: dict[str, np.ndarray], kind: int) -> pa.RecordBatch:
     """A row for each document among the segments; n_bytes is of what there is to sort, hot segments as single strings."""
     order = np.lexsort((columns["start"], columns["text"], columns["by"]))
-    c = {k: v[order] for k, v in columns.items()}
+    c = {k: v.take(order) for k, v in columns.items()}
     n = len(order)
     fresh = np.concatenate(([True], (c["by"][1:] != c["by"][:-1]) | (c["text"][1:] != c["text"][:-1]))) if n else np.zeros(0, bool)
     first = np.flatnonzero(fresh)
-    stops = np.append(first[1:], n)
-    rest = list(_ASKED if kind == _UNSURE else _SPANS)
-    content = [b"".join(c[k][a:b].tobytes() for k in rest) for a, b in zip(first.tolist(), stops.tolist())]
+    records = np.empty(n, _ASKED if kind == _UNSURE else _SPANS)
+    for k in records.dtype.names:
+        records[k] = c[k]
+    offsets = np.append(first, n).astype(np.int32) * np.int32(records.dtype.itemsize)
+    content = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(records.tobytes())])
     count = c["count"].astype(np.int64)
     n_bytes = np.where(c["hot"] == 1, count * LENGTH, count + LENGTH - 1) if kind == _UNSURE else np.zeros(n, np.int64)
-    return to_batch(_FOUND, [c["by"][first], c["text"][first], [kind] * len(first), content, np.add.reduceat(n_bytes, first)])
-
-
-def _ungrouped(content: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
-    n, at, out = len(content) // sum(np.dtype(k).itemsize for k in kinds.values()), 0, {}
-    for name, kind in kinds.items():
-        out[name] = np.frombuffer(content, kind, n, at)
-        at += n * np.dtype(kind).itemsize
-    return out
+    return to_batch(_FOUND, [c["by"].take(first), c["text"].take(first), [kind] * len(first), content, np.add.reduceat(n_bytes, first)])
 
 
 def _padded(parts: Iterable[bytes]) -> np.ndarray:
@@ -400,8 +395,8 @@ def _merged(s: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 #: Of a piece's hash the upper half goes on: it deals segments out, no more.
-_ASKED = {"start": "<u4", "count": "u1", "piece": "<u4", "hot": "u1"}
-_ASKED_SEG = {"by": "<i8", "text": "<i8", **_ASKED}
+_ASKED = np.dtype([("start", "<u4"), ("count", "u1"), ("piece", "<u4"), ("hot", "u1")])
+_ASKED_SEG = {"by": "<i8", "text": "<i8", **{k: _ASKED[k].str for k in _ASKED.names}}
 
 
 def _to_ask(s: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
@@ -478,17 +473,15 @@ def _first_strings(strings: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
-    """shard, lines, text: the asked segments' bytes, of each document from its own text; settled: what is known by then.
+    """shard, lines: the asked segments and their bytes, of each document from its own text; settled: what is known by then.
 
     Segments of hot pieces come as their strings, dealt by their own bytes; those that an earlier document of the parcel has too
     are settled, so a string that very many documents have comes once from each parcel."""
     per = asked.groupBy("by", "text").agg(F.collect_list("content").alias("contents")).select(F.col("by").alias("_by"), F.col("text").alias("_text"), "contents")
     both = docs.join(per, (F.col("by") == F.col("_by")) & (F.col("text_hash") == F.col("_text"))).select("by", "text_hash", "text", "contents")
-    schema = pa.schema([("shard", pa.int64()), ("lines", pa.binary()), ("bytes", pa.binary()), ("settled", pa.binary())])
+    schema = pa.schema([("shard", pa.int64()), ("lines", pa.binary()), ("settled", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
         held: list[tuple] = []
         size = 0
 
@@ -509,22 +502,20 @@ def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
                 by, text, start = (np.concatenate((x[cold], found[k][kept])) for k, x in (("by", by), ("text", text), ("start", start)))
             shard = piece.astype(_U) * _U(shards) >> _U(32)
             order = np.argsort(shard, kind="stable")
-            length = np.array([len(c) for c in chunks], "u1")
-            squeeze = zstandard.ZstdCompressor(level=1).compress
-            rows = []
-            for k, a, b in _stretches(shard.take(order)):
-                own = order[a:b]
-                lines = {"piece": piece.take(own), "by": by.take(own), "text": text.take(own), "start": start.take(own).astype("<u4"), "size": length.take(own)}
-                rows.append((k, _packed(lines), squeeze(b"".join([chunks[i] for i in own.tolist()])), None))
+            length = np.array([len(c) for c in chunks], "u1").take(order)
+            lines = {"piece": piece.take(order), "by": by.take(order), "text": text.take(order), "start": start.take(order).astype("<u4"), "size": length}
+            every = b"".join([chunks[i] for i in order.tolist()])
+            ends = np.concatenate(([0], np.cumsum(length, dtype=np.int64))).tolist()
+            rows = [(k, _packed({c: v[a:b] for c, v in lines.items()}, every[ends[a] : ends[b]]), None) for k, a, b in _stretches(shard.take(order))]
             if settled is not None and len(settled["by"]):
-                rows.append((int(settled["start"][0]) % shards, None, None, _packed(settled)))
+                rows.append((int(settled["start"][0]) % shards, None, _packed(settled)))
             return to_batch(schema, list(zip(*rows)))
 
         for batch in batches:
             for by, text_hash, text, contents in zip(*[batch.column(k) for k in range(4)]):
                 raw = text.as_py().encode("utf-8", "surrogatepass")
-                parts = [_ungrouped(c, _ASKED) for c in contents.as_py()]
-                start, count, piece, hot = (np.concatenate([p[k] for p in parts]) for k in _ASKED)
+                asked_of = np.frombuffer(b"".join(contents.as_py()), _ASKED)
+                start, count, piece, hot = (asked_of[k] for k in _ASKED.names)
                 ends = start.astype(np.int64) + count + LENGTH - 1
                 chunks = [raw[a:b] for a, b in zip(start.tolist(), ends.tolist())]
                 n = len(start)
@@ -536,7 +527,7 @@ def _cut_out(docs: DataFrame, asked: DataFrame, shards: int) -> DataFrame:
         if held:
             yield parcel()
 
-    return both.mapInArrow(run, "shard long, lines binary, bytes binary, settled binary")
+    return both.mapInArrow(run, "shard long, lines binary, settled binary")
 
 
 def repeats(raw: np.ndarray, size: np.ndarray, by: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -580,14 +571,21 @@ def _copies(raw: np.ndarray, at: np.ndarray, size: np.ndarray, by: np.ndarray) -
     return later
 
 
+def _shared(piece: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """Which segments, in order of their pieces, have a piece that several documents have."""
+    if not len(piece):
+        return np.zeros(0, bool)
+    first = np.flatnonzero(np.concatenate(([True], piece[1:] != piece[:-1])))
+    several = np.minimum.reduceat(by, first) < np.maximum.reduceat(by, first)
+    return np.repeat(several, np.diff(np.append(first, len(piece))))
+
+
 def _sort(parcels: DataFrame) -> DataFrame:
     """Per shard the suffix array of its different segments, and from it what a smaller document has as well."""
 
     def run(table: pa.Table) -> pa.Table:
-        import zstandard
-
-        line = _joined([c.as_py() for c in table.column("lines") if c.is_valid], _LINE)
-        raw = _padded(zstandard.decompress(c.as_py()) for c in table.column("bytes") if c.is_valid)
+        line = _joined([c.as_py() for c in table.column("lines") if c.is_valid], _LINE, more=True)
+        raw = _padded([line.pop("").tobytes()])
         settled = [_joined([c.as_py() for c in table.column("settled") if c.is_valid], _DONE)]
         size = line["size"].astype(np.int64)
         begin, order = np.cumsum(size) - size, np.argsort(line["piece"], kind="stable")
@@ -597,8 +595,10 @@ def _sort(parcels: DataFrame) -> DataFrame:
         part = before.take(np.maximum.accumulate(np.where(first, np.arange(len(order)), 0))) // ARRAY_BYTES
         for own in np.split(order, np.flatnonzero(np.diff(part)) + 1) if len(order) else []:
             copy = _copies(raw, begin.take(own), size.take(own), line["by"].take(own))
-            again, own = own[copy], own[~copy]
+            again, own = own.take(np.flatnonzero(copy)), own.take(np.flatnonzero(~copy))
             settled.append(_merged({"by": line["by"].take(again), "text": line["text"].take(again), "start": line["start"].take(again), "count": size.take(again) - LENGTH + 1}))
+            # A piece of which just one document's segments are left has no other strings to be told from.
+            own = own.take(np.flatnonzero(_shared(line["piece"].take(own), line["by"].take(own))))
             n = size.take(own)
             at = np.cumsum(n) - n
             index = np.arange(int(n.sum())) + np.repeat(begin.take(own) - at, n)
@@ -616,11 +616,11 @@ _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_remove
 
 def _spans(contents: list[bytes] | None) -> list[tuple[int, int]]:
     """Maximal removed runs (start, end) from a document's found ones."""
-    parts = [_ungrouped(c, _SPANS) for c in contents or []]
-    if not parts:
+    if not contents:
         return []
-    start = np.concatenate([p["start"] for p in parts]).astype(np.int64)
-    stop = start + np.concatenate([p["count"] for p in parts])
+    found = np.frombuffer(b"".join(contents), _SPANS)
+    start = found["start"].astype(np.int64)
+    stop = start + found["count"]
     order = np.argsort(start, kind="stable")
     start, reach = start[order], np.maximum.accumulate(stop[order])
     first = np.flatnonzero(np.concatenate(([True], start[1:] > reach[:-1])))

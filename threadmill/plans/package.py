@@ -16,9 +16,9 @@ from ..functions import plain
 from ..model import PROFILES, SCHEMAS
 from ..operators import bubbles, candidates, manifest, routing, sidemap, sides, transcript
 from ..operators.blocks import SCREEN
+from ..operators.steps import cut
 from ..sources import files as files_, side_csv, transcripts
 from . import screens
-from .steps import cut
 
 OK, BAD_INPUT, NO_IMAGES, NO_ROWS = 0, 2, 3, 4
 

@@ -753,6 +753,59 @@ def polish_guard(spark, sf_dir):
     return both.select("image_id", way.alias("way"), (F.col("content") != F.col("draft")).alias("polished"))
 
 
+@query(f"""WITH {_BUBBLES}, tm AS (SELECT DISTINCT image_id, right(time_text, 5) AS hhmm FROM rows WHERE right(time_text, 5) < '00:40'),
+    o AS (SELECT *, lag(side) OVER w AS ps, lag(message) OVER w AS pm, abs(date_diff('minute', strptime(lag(time_text) OVER w, '%d/%m/%Y %H:%M'), strptime(time_text, '%d/%m/%Y %H:%M'))) AS apart FROM rows WINDOW w AS (PARTITION BY image_id ORDER BY row_no)),
+    q AS (SELECT image_id, 4 * CAST({sql_found('message', t.CLOCK_SHAPE)} AS INT) + 3 * CAST({sql_orphan('message')} AS INT) + 2 * CAST(length(message) >= 240 AS INT) + 2 * CAST({sql_noisy('message')} AS INT) + 2 * CAST(coalesce(ps = side AND apart <= 1 AND {sql_continues('pm', 'message')}, false) AS INT) AS penalty,
+      image_id IN (SELECT image_id FROM tm) AND (image_id, right(time_text, 5)) NOT IN (SELECT image_id, hhmm FROM tm) AS wrong FROM o),
+    p AS (SELECT image_id, count(*) AS n, CAST(sum(CAST(wrong AS INT)) AS BIGINT) AS invalid, CAST(sum(penalty) AS BIGINT) AS penalty FROM q GROUP BY image_id),
+    h AS (SELECT DISTINCT image_id, ord FROM bw JOIN rw USING (image_id, side) WHERE len(b) >= 2 AND {sql_overlap('b', 'r')} >= 0.58), c AS (SELECT image_id, count(*) AS covered FROM h GROUP BY image_id),
+    e AS (SELECT image_id, count(*) AS expected, count(*) FILTER (len(b) >= 2) AS total FROM bw GROUP BY image_id)
+    SELECT image_id, 1 AS screen_idx, 'draft' AS candidate, n, coalesce(covered, 0) AS covered, total, invalid, penalty,
+      round(2 * n - (abs(n - expected) * 6 + greatest(0, expected - n) * 4) + CASE WHEN total > 0 THEN coalesce(covered, 0) / total * 70 + coalesce(covered, 0) * 1.5 ELSE 0 END - invalid * 5 - penalty * 4, 6) AS score
+    FROM p JOIN e USING (image_id) LEFT JOIN c USING (image_id)""")
+def candidate_scores(spark, sf_dir):
+    # Sides alternate in these tables, so no two rows are compared as sequences, which SQL could not.
+    rows, made = _bubble_rows(spark, sf_dir)
+    times = rows.select("image_id", "screen_idx", text.hhmm(F.col("time_text")).alias("hhmm")).filter("hhmm < '00:40'").distinct()
+    return candidates.scores(rows, made, times)
+
+
+_ARTIFACT = "regexp_replace(message, '[0-9]+', '', 'g') || CASE row_no % 3 WHEN 0 THEN ' Ijust | it = so .' WHEN 1 THEN ' wait.... what!!! \"yes' ELSE '' END"
+
+
+def sql_artifacts(expr: str) -> str:
+    """Without a clock in it: its look-around can't be put in SQL."""
+    hits = " + ".join(f"{w} * len(regexp_extract_all({expr}, {_q(p.replace('(?=[A-Za-z])', '[A-Za-z]'))}))" for p, w in t.ARTIFACT_WEIGHTS if p != t.CLOCK)
+    return f"({hits} + (length({expr}) - length(replace({expr}, '\"', ''))) % 2 + CASE WHEN len(regexp_extract_all({expr}, '([A-Za-z'']+)')) >= 4 AND regexp_matches({expr}, '^[a-z]') THEN 0.75 ELSE 0 END)"
+
+
+@query(f"""WITH {_CHAT}, m AS (SELECT seq, {_ARTIFACT} AS v FROM chat), s AS (SELECT seq, v, trim(v) AS w FROM m)
+    SELECT seq, CAST({sql_artifacts('v')} AS DOUBLE) AS penalty, CAST(CASE WHEN w = '' THEN -20.0 ELSE -{sql_artifacts('w')} - 5 * CAST({sql_noisy('w')} AS INT) - 2 * CAST({sql_orphan('w')} AS INT) END AS DOUBLE) AS style FROM s""")
+def artifacts_and_style(spark, sf_dir):
+    n = F.col("row_no") % 3
+    v = F.concat(F.regexp_replace("message", "[0-9]+", ""), F.when(n == 0, " Ijust | it = so .").when(n == 1, ' wait.... what!!! "yes').otherwise(""))
+    rows = chat(spark, sf_dir).select("seq", v.alias("v"))
+    return rows.select("seq", text.artifact_penalty(F.col("v")).alias("penalty"), text.style_score(F.col("v")).alias("style"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, least(a, b, c) AS x, least(d, e, f) AS y, greatest(a, b, c) - least(a, b, c) AS w, greatest(d, e, f) - least(d, e, f) AS h
+    FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INT) AS a, CAST(l_linenumber AS INT) AS b, CAST(l_suppkey AS INT) AS c, CAST(l_linenumber AS INT) AS d, CAST(l_partkey AS INT) AS e, CAST(l_quantity AS INT) AS f FROM lineitem)""")
+def polygon_boxes(spark, sf_dir):
+    points = F.array(*[F.array(*[F.col(c).cast("double") for c in p]) for p in (("l_quantity", "l_linenumber"), ("l_linenumber", "l_partkey"), ("l_suppkey", "l_quantity"))])
+    return _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", blocks.box(points).alias("b")).select("l_orderkey", "l_linenumber", "b.*")
+
+
+@query("""WITH s AS (SELECT CAST(l_orderkey AS VARCHAR) AS image_id, CAST(l_quantity * 40 AS INT) AS x, CAST(l_linenumber * 60 + l_suppkey % 5 * 9 AS INT) AS y, CAST(100 + l_partkey % 50 AS INT) AS h, l_linenumber FROM lineitem),
+    m AS (SELECT *, greatest(40, floor(median(h) OVER (PARTITION BY image_id) * 0.25)) AS near FROM s),
+    f AS (SELECT *, CASE WHEN abs(y - lag(y) OVER w) > near THEN 1 ELSE 0 END AS fresh FROM m WINDOW w AS (PARTITION BY image_id ORDER BY y, x, l_linenumber)),
+    r AS (SELECT *, sum(fresh) OVER (PARTITION BY image_id ORDER BY y, x, l_linenumber) AS line FROM f)
+    SELECT image_id, x, y, CAST(row_number() OVER (PARTITION BY image_id ORDER BY line, x, y) AS INT) AS screen_idx FROM r""")
+def reading_order(spark, sf_dir):
+    line = _table(spark, sf_dir, "lineitem")
+    crops = line.select(F.col("l_orderkey").cast("string").alias("image_id"), (F.col("l_quantity") * 40).cast("int").alias("x"), (F.col("l_linenumber") * 60 + F.col("l_suppkey") % 5 * 9).cast("int").alias("y"), F.lit(400).alias("w"), (F.col("l_partkey") % 50 + 100).cast("int").alias("h"))
+    return blocks.crop_order(crops).select("image_id", "x", "y", "screen_idx")
+
+
 # ---- What SQL can't express; tests hold these against plain versions. ----
 
 
@@ -768,13 +821,6 @@ def sequence_ratio(spark, sf_dir):
     return pairs.select("seq", F.round(similarity.message_ratio("before", "message"), 6).alias("ratio"))
 
 
-@query()
-def candidate_scores(spark, sf_dir):
-    rows, made = _bubble_rows(spark, sf_dir)
-    times = rows.select("image_id", "screen_idx", text.hhmm(F.col("time_text")).alias("hhmm")).filter("hhmm < '00:40'").distinct()
-    return candidates.scores(rows, made, times)
-
-
 def _normalized(spark: SparkSession, sf_dir: str, profile) -> DataFrame:
     rows, made = _bubble_rows(spark, sf_dir)
     timed = made.withColumn("kind", F.lit("timed")).join(rows.select("image_id", F.col("row_no").alias("ord"), text.hhmm(F.col("time_text")).alias("_t")), ["image_id", "ord"]).withColumn("hhmm", F.col("_t")).drop("_t")

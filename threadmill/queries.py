@@ -733,19 +733,23 @@ def side_csv_sink(spark, sf_dir):
     return side_csv.write(chat(spark, sf_dir)).select("image_id", F.md5("content").alias("digest"))
 
 
-@query(f"""WITH {_CHAT}, r AS (SELECT * FROM chat WHERE side <> 'CENTER' AND trim(message) <> ''), p AS (SELECT image_id, row_no, min(row_no) OVER (PARTITION BY image_id) AS first, CAST(image_id AS INT) % 4 AS way, trim(message) AS a FROM r),
-    q AS (SELECT image_id, way, a, CASE WHEN row_no = first AND way = 1 THEN left(a, CAST(length(a) // 3 AS INT)) ELSE a || '.' END AS b FROM p WHERE NOT (way = 2 AND row_no = first))
+#: Without these no rule of cleaning changes a message's words, which SQL couldn't follow here.
+_REWRITTEN = 'iIıtTsSyYvV_=|$":;0123456789'
+
+
+@query(f"""WITH {_CHAT}, c AS (SELECT image_id, row_no, trim(translate(message, {_q(_REWRITTEN)}, '')) AS a FROM chat WHERE side <> 'CENTER'), p AS (SELECT image_id, row_no, min(row_no) OVER (PARTITION BY image_id) AS first, CAST(image_id AS INT) % 4 AS way, a FROM c WHERE a <> ''),
+    q AS (SELECT image_id, way, a, CASE WHEN row_no = first AND way = 1 THEN left(a, CAST(length(a) // 3 AS INT)) ELSE upper(a) END AS b FROM p WHERE NOT (way = 2 AND row_no = first))
     SELECT image_id, CAST(way AS INT) AS way, way <> 2 AND coalesce(bool_and(length(trim(b)) >= 0.55 * length(a) AND length(trim(b)) <= 1.65 * length(a) AND ({sql_noisy('a')} OR NOT {sql_noisy('b')})), true) AS polished
     FROM (SELECT DISTINCT image_id, way FROM p) LEFT JOIN q USING (image_id, way) GROUP BY image_id, way""")
 def polish_guard(spark, sf_dir):
-    rows = chat(spark, sf_dir).filter("side <> 'CENTER' AND trim(message) <> ''").withColumn("message", F.trim("message"))
+    rows = chat(spark, sf_dir).filter("side <> 'CENTER'").withColumn("message", F.trim(F.translate("message", _REWRITTEN, ""))).filter("message <> ''")
     first = F.col("row_no") == F.min("row_no").over(Window.partitionBy("image_id"))
     way = F.col("image_id").cast("int") % 4
     # A third of a message, a row left out, a side turned round: the first two are no polish, the last one isn't taken over.
     third = F.substring(F.col("message"), F.lit(1), F.floor(F.length("message") / 3).cast("int"))
     other = F.when(F.col("side") == "LEFT", "RIGHT").otherwise("LEFT")
     polish = rows.withColumn("_first", first).filter(~((way == 2) & F.col("_first")))
-    polish = polish.withColumns({"candidate": F.lit("polish"), "message": F.when((way == 1) & F.col("_first"), third).otherwise(F.concat("message", F.lit("."))), "side": F.when((way == 3) & F.col("_first"), other).otherwise(F.col("side"))}).drop("_first")
+    polish = polish.withColumns({"candidate": F.lit("polish"), "message": F.when((way == 1) & F.col("_first"), third).otherwise(F.upper("message")), "side": F.when((way == 3) & F.col("_first"), other).otherwise(F.col("side"))}).drop("_first")
     drafts = side_csv.write(rows)
     none = _with_bubbles(rows, spark.createDataFrame([], SCHEMAS["bubble"])).select("image_id", "screen_idx", "visible_date", "default_year", "timed", "geometric", "allowed").distinct()
     chosen = candidates.choose(drafts.unionByName(side_csv.write(polish)), none, False, False)

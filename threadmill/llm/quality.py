@@ -153,16 +153,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str
     chosen = graded(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = text_of(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
     one = rows.groupBy("doc_id", "grade").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")).select("doc_id", F.col("first.text").alias("text"), "grade")
-    schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("places", pa.list_(pa.int32()))])
+    # Places come as bytes: lists of numbers would take the driver many times the room.
+    schema = pa.schema([("doc_id", pa.int64()), ("grade", pa.int32()), ("places", pa.binary())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 200):
                 part = batch.slice(k, 200)
-                yield to_batch(schema, [part.column(0), part.column(2), [features(t) for t in part.column(1).to_pylist()]])
+                yield to_batch(schema, [part.column(0), part.column(2), [features(t).tobytes() for t in part.column(1).to_pylist()]])
 
-    got = sorted(one.mapInArrow(run, "doc_id long, grade int, places array<int>").collect(), key=lambda r: r.doc_id)
-    return fit([np.array(r.places, dtype=np.int32) for r in got], np.array([r.grade for r in got], dtype=np.int64))
+    got = sorted(one.mapInArrow(run, "doc_id long, grade int, places binary").collect(), key=lambda r: r.doc_id)
+    return fit([np.frombuffer(r.places, dtype=np.int32) for r in got], np.array([r.grade for r in got], dtype=np.int64))
 
 
 def score(docs: DataFrame, model: Model, keep: float = KEEP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

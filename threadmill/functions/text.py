@@ -40,8 +40,7 @@ def _unglued(c: Column) -> Column:
 def clean_message(c: Column) -> Column:
     """The whole message cleaning; its parts run in order, the second one only on rows without a label."""
     c = _unglued(t.rewritten(F.coalesce(c, F.lit("")), t.CLEAN_START))
-    for rules in (t.CLEAN_CONTRACTED, t.CLEAN_DOLLARS, t.CLEAN_QUOTED, t.CLEAN_WORDS, t.CLEAN_MISREAD):
-        c = t.rewritten_if_any(c, rules)
+    c = t.rewritten(c, [*t.CLEAN_CONTRACTED, *t.CLEAN_DOLLARS, *t.CLEAN_QUOTED, *t.CLEAN_WORDS, *t.CLEAN_MISREAD])
     labelled = lambda c: t.found(c, rf"\b({t.LABELS})\s*:", True)
     c = t.bound(t.rewritten(c, t.CLEAN_MARKS), lambda c: F.when(labelled(c), c).otherwise(t.rewritten(c, t.CLEAN_UNLABELLED)))
     ends = lambda c: c.endswith(":") & ~t.found(c, rf"\b({t.LABELS})\s*:$", True) & (F.regexp_count(c, F.lit(r"(?U)\b\w+\b")) >= 4)
